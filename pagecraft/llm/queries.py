@@ -54,7 +54,7 @@ ORACLE_SQL: dict[str, str] = {
                  FROM documents),
              s AS MATERIALIZED (
                  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) = 1 THEN [w[1]]
-                     ELSE list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) END) AS g FROM w),
+                     ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS g FROM w),
              c AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
              e AS MATERIALIZED (
                  SELECT x.a, x.b FROM (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS k FROM s p JOIN s q ON p.g = q.g AND p.doc_id < q.doc_id
