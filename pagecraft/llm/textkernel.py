@@ -75,10 +75,16 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
 
 def tokens(buf: np.ndarray, ends: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, start, end, hash) of the words `[^\\x20\\x09-\\x0D]+` of each row."""
+    row, start, end = runs(buf, ends, ~SPACE)
+    return row, start, end, span_hash(prefix_hash(buf, BYTE[LOWER] if lower else BYTE), start, end)
+
+
+def runs(buf: np.ndarray, ends: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of the maximal runs of bytes b with inside[b] in each row."""
     if not len(buf):
         z = np.zeros(0, np.int64)
-        return z, z, z, np.zeros(0, np.uint64)
-    word = ~SPACE[buf]
+        return z, z, z
+    word = inside[buf]
     begin, stop = word.copy(), word.copy()
     begin[1:] &= ~word[:-1]
     stop[:-1] &= ~word[1:]
@@ -87,6 +93,4 @@ def tokens(buf: np.ndarray, ends: np.ndarray, lower: bool = True) -> tuple[np.nd
     begin[heads] = word[heads]
     stop[tails] = word[tails]
     start, end = np.flatnonzero(begin), np.flatnonzero(stop) + 1
-    row = np.searchsorted(ends, start, "right")
-    h = span_hash(prefix_hash(buf, BYTE[LOWER] if lower else BYTE), start, end)
-    return row, start, end, h
+    return np.searchsorted(ends, start, "right"), start, end
