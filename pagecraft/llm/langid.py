@@ -153,5 +153,5 @@ def predicted(docs: DataFrame, learn, fit_rows: int = FIT_ROWS, path: str | None
     return src.select("doc_id", "held_out", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_predict(names, prob, prior, path), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def held_out_rule(doc_id):
+def learn_rule(doc_id):
     return crc_mod(doc_id, 4) != 2

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pagecraft.llm import exact_dedup, fingerprints, minhash_dedup, mixing, pii, secrets
+from pagecraft.llm import exact_dedup, fingerprints, langid, lm, minhash_dedup, mixing, pii, secrets, toxicity
 from pagecraft.llm.common import table
 
 
@@ -14,6 +15,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predicted(docs, langid.learn_rule(F.col("doc_id")))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
@@ -22,6 +28,16 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.scored(docs, labels, toxicity.learn_rule(F.col("doc_id")))
+
+
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm.scored(docs, lm.learn_rule(F.col("doc_id")))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared_with_edits(table(spark, sf_dir, "documents"))
 
@@ -35,7 +51,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op3_exact_dedup, op4_mixing, op7_fingerprints, op8_pii, op10_minhash)
+    f.__name__: f for f in (op1_secrets, op2_language_id, op3_exact_dedup, op4_mixing, op5_toxicity, op6_lm, op7_fingerprints, op8_pii, op10_minhash)
 }
 
 SPACE = r"[\x20\x09-\x0D]"
