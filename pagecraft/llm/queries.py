@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagecraft.llm import exact_dedup, fingerprints, langid, lm, minhash_dedup, mixing, pii, secrets, toxicity
+from pagecraft.llm import exact_dedup, fingerprints, langid, lm, minhash_dedup, mixing, pii, secrets, spm, toxicity
 from pagecraft.llm.common import table
 
 
@@ -46,12 +46,16 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spm.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_groups(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op2_language_id, op3_exact_dedup, op4_mixing, op5_toxicity, op6_lm, op7_fingerprints, op8_pii, op10_minhash)
+    f.__name__: f for f in (op1_secrets, op2_language_id, op3_exact_dedup, op4_mixing, op5_toxicity, op6_lm, op7_fingerprints, op8_pii, op9_sentencepiece, op10_minhash)
 }
 
 SPACE = r"[\x20\x09-\x0D]"
