@@ -1,4 +1,15 @@
 """All queries of the engine by name, with the SQL that must agree with them."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from pagecraft.plans import oracle
+from pagecraft.plans import queries as q
+
+#: Queries that a fold or an iteration decides; tests compare them with brute force instead of SQL.
+FOLDS = (q.viewport_reconcile, q.reconciled_quality, q.kmeans_palette, q.vector_dedup, q.archetypes, q.select_topk, q.library_violations)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: getattr(q, name) for name in oracle.SQL} | {f.__name__: f for f in FOLDS}
+ORACLE_SQL: dict[str, str] = dict(oracle.SQL)
