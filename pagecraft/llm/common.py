@@ -61,15 +61,27 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with value computed once for a row. An expression that is named twice in array functions is otherwise
+    computed twice, and again in each step that builds on it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def prefix_sums(arr: Column, group: int = 64) -> Column:
     """Exclusive prefix sums of an array of longs, by groups so that no step copies the whole array."""
     zero = F.lit(0).cast("long")
-    n_groups = F.ceil(F.size(arr) / F.lit(group)).cast("int")
     total = lambda a: F.aggregate(a, zero, lambda s, x: s + x)
-    groups = F.when(n_groups > 0, F.sequence(F.lit(0), n_groups - 1)).otherwise(F.array().cast("array<int>"))
-    sums = F.transform(groups, lambda k: total(F.slice(arr, k * group + 1, F.lit(group))))
-    before = F.transform(groups, lambda k: total(F.slice(sums, F.lit(1), k)))
-    return F.transform(
-        arr,
-        lambda _, i: F.get(before, F.floor(i / F.lit(group)).cast("int")) + total(F.slice(arr, (i - i % group + 1).cast("int"), (i % group).cast("int"))),
-    )
+
+    def grouped(a: Column) -> Column:
+        n_groups = F.ceil(F.size(a) / F.lit(group)).cast("int")
+        groups = F.when(n_groups > 0, F.sequence(F.lit(0), n_groups - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(groups, lambda k: total(F.slice(a, k * group + 1, F.lit(group))))
+
+    def running(sums: Column) -> Column:
+        return F.transform(sums, lambda _, k: total(F.slice(sums, F.lit(1), k)))
+
+    def all_(a: Column) -> Column:
+        inner = lambda i: total(F.slice(a, (i - i % group + 1).cast("int"), (i % group).cast("int")))
+        return let(let(grouped(a), running), lambda before: F.transform(a, lambda _, i: F.get(before, F.floor(i / F.lit(group)).cast("int")) + inner(i)))
+
+    return let(arr, all_)

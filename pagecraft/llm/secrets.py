@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagecraft.llm.common import prefix_sums
+from pagecraft.llm.common import let, prefix_sums
 
 ASSIGN = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 #: Runs of the needed length only: shorter maximal runs fail anyway.
@@ -39,24 +39,27 @@ SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string,value:string>>
 
 def spans(text: Column, pattern: str, kind: str, keep) -> Column:
     """The pattern's leftmost non-overlapping matches as structs; keep(match) may be a condition on it."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    before = F.transform(found, lambda m, i: F.char_length(F.get(between, i)).cast("long"))
-    length = F.transform(found, lambda m: F.char_length(m).cast("long"))
-    ahead = prefix_sums(F.zip_with(before, length, lambda a, b: a + b))
-    start = F.zip_with(ahead, before, lambda a, b: a + b)
     rank = KINDS.index(kind)
-    out = F.transform(
-        F.arrays_zip(start.alias("s"), found.alias("m")),
-        lambda x: F.struct(x["s"].alias("start"), F.lit(rank).alias("rank"), (x["s"] + F.char_length(x["m"])).alias("end"), F.lit(kind).alias("kind"), x["m"].alias("value")),
-    )
-    return F.when(F.rlike(text, F.lit(pattern)), F.filter(out, lambda x: keep(x["value"]))).otherwise(F.array().cast(SPAN)).cast(SPAN)
+
+    def placed(found: Column, between: Column) -> Column:
+        before = F.transform(found, lambda m, i: F.char_length(F.get(between, i)).cast("long"))
+        step = F.zip_with(before, found, lambda b, m: b + F.char_length(m))
+        start = let(before, lambda x: F.zip_with(prefix_sums(step), x, lambda a, b: a + b))
+        one = lambda s, m: F.struct(s.alias("start"), F.lit(rank).alias("rank"), (s + F.char_length(m)).alias("end"), F.lit(kind).alias("kind"), m.alias("value"))
+        return F.filter(F.zip_with(start, found, one), lambda x: keep(x["value"]))
+
+    some = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: let(F.split(text, pattern, -1), lambda between: placed(found, between)))
+    return F.when(F.rlike(text, F.lit(pattern)), some.cast(SPAN)).otherwise(F.array().cast(SPAN))
 
 
 def largest_entropy(value: Column, window: int = WINDOW) -> Column:
     """The largest Shannon entropy, in bits, of any window of the string, by incremental counts; under one window: 0."""
     term = F.array(*[F.lit(c * math.log2(c) if c > 1 else 0.0) for c in range(window + 2)])
     codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(SYMBOLS), c) - 1)
+    return let(codes, lambda x: _folded(x, term, window))
+
+
+def _folded(codes: Column, term: Column, window: int) -> Column:
     start = F.struct(
         F.array_repeat(F.lit(0), len(SYMBOLS)).alias("count"), F.lit(0.0).cast("double").alias("sum"), F.lit(0.0).cast("double").alias("best"), F.lit(0).alias("i")
     )
@@ -84,9 +87,10 @@ def allowed(value: Column) -> Column:
 
 def entropy_spans(text: Column) -> Column:
     hexed = lambda v: F.rlike(v, F.lit(r"^(?:[0-9a-f]+|[0-9A-F]+)$"))
-    one = spans(text, CANDIDATE, "entropy_hex", lambda v: ~allowed(v) & hexed(v) & (largest_entropy(v) >= HEX_BITS))
-    two = spans(text, CANDIDATE, "entropy_mixed", lambda v: ~allowed(v) & ~hexed(v) & (largest_entropy(v) >= MIXED_BITS))
-    return F.concat(one, two)
+    high = lambda v: let(largest_entropy(v), lambda e: e >= F.when(hexed(v), HEX_BITS).otherwise(MIXED_BITS))
+    found = spans(text, CANDIDATE, "entropy_mixed", lambda v: F.when(allowed(v), False).otherwise(high(v)))
+    as_hex = lambda x: x.withField("kind", F.lit("entropy_hex")).withField("rank", F.lit(KINDS.index("entropy_hex")))
+    return F.transform(found, lambda x: F.when(hexed(x["value"]), as_hex(x)).otherwise(x)).cast(SPAN)
 
 
 def base_spans(text: Column) -> Column:
