@@ -154,7 +154,7 @@ def reconciled(desktop: DataFrame, mobile: DataFrame) -> DataFrame:
 
     def take(claims: Column, d: Column) -> Column:
         free = F.filter(F.col("m"), lambda m: ~F.array_contains(claims, m["pos"].cast("bigint")))
-        far = F.transform(free, lambda m: F.struct(F.abs(d["pos"] / d["total"] - m["pos"] / m["total"]).alias("far"), m["pos"].cast("bigint").alias("pos")))
+        far = F.transform(free, lambda m: F.struct((F.abs(d["pos"] / d["total"] - m["pos"] / m["total"]) - F.lit(1.0)).alias("far"), m["pos"].cast("bigint").alias("pos")))
         return F.concat(claims, F.array(F.coalesce(F.array_min(far)["pos"], F.lit(-1).cast("bigint"))))
 
     per = per.withColumn("claims", F.aggregate("d", none, take))

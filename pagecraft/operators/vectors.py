@@ -97,7 +97,7 @@ def vector_dedup(df: DataFrame, threshold: float = 0.92) -> DataFrame:
         kept = greedy_kept(np.stack(pdf["vec"].to_list()), pdf["vertical"].fillna("default").to_list(), pdf["quality_score"].to_numpy(), threshold)
         return pd.DataFrame({"comp_id": pdf["comp_id"].to_numpy()[kept], "ord": np.arange(len(kept))})
 
-    return df.select("comp_id", "ord", "vertical", "quality_score", "vec").groupBy(F.lit(0)).applyInPandas(run, "comp_id long, ord long")
+    return df.select("comp_id", "ord", "vertical", "quality_score", "vec").withColumn("_all", F.lit(True)).groupBy("_all").applyInPandas(run, "comp_id long, ord long")
 
 
 def greedy_clusters(vectors: np.ndarray, vertical: str, threshold: float) -> np.ndarray:

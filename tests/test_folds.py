@@ -22,7 +22,7 @@ def walk(desktop, mobile):
             if m["pos"] in claimed or m["type"] != d["type"]:
                 continue
             score = 1 - abs(d["pos"] / len(desktop) - m["pos"] / len(mobile))
-            if best is None or score > best[0] + 1e-12:
+            if best is None or score > best[0]:
                 best = (score, m["pos"])
         if best:
             claimed.add(best[1])
