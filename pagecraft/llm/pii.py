@@ -190,7 +190,7 @@ RULES = (
     ("date", r"^(?:\d{4}([-/.])\d{2}\1\d{2}|\d{2}([-/.])\d{2}\2\d{4})$", _dates),
     ("ssn", r"^\d{3}-\d{2}-\d{4}$", lambda v: _numbers(v, "ssn", 9, 9)),
     ("card", r"^\d(?:[ -]?\d){12,18}$", _cards),
-    ("phone", r"^[+(\d]", lambda v: _numbers(v, "phone", 7, 15)),
+    ("phone", r"^[+(]|^\d+[ .-]", lambda v: _numbers(v, "phone", 7, 15)),
 )
 
 

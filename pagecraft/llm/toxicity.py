@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagecraft.llm.common import crc_mod
+from pagecraft.llm.common import crc_mod, materialize
 from pagecraft.llm.textkernel import BYTE, LOWER, SPACE, chunks, prefix_hash, runs, span_hash
 
 #: Labelled rows that the fit may use.
@@ -236,6 +236,7 @@ def fitted(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = FI
     per = labels.where(F.col("toxic").isNotNull() & learn).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     order = F.xxhash64(F.lit("toxicity"), "doc_id")
     chosen = per.orderBy(order, "doc_id").limit(fit_rows).withColumn("part", (F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(5))).cast("int"))
+    chosen = materialize(chosen, "toxicity-sample")
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     sample = text.join(F.broadcast(chosen), "doc_id")
     lexicon_rows = sample.where("part < 2")
