@@ -22,7 +22,7 @@ from pagecraft.llm.common import crc_mod
 from pagecraft.llm.textkernel import chunks, tokens
 
 #: Labelled rows that the fit may use, for each language.
-FIT_ROWS = 1500
+FIT_ROWS = 300
 #: Longer texts are not fitted on; they are predicted whole like all others.
 FIT_CHARS = 20_000
 EM_STEPS = 4

@@ -29,7 +29,7 @@ GIANT_BYTES = 32 << 10
 CHUNK = 16 << 10
 #: A byte piece's score lies this far below all scores of pieces in use.
 BYTE_PENALTY = 10.0
-RUN_BYTES = 1 << 20
+RUN_BYTES = 2 << 20
 
 
 def scores(voc: lattice.Vocabulary) -> np.ndarray:
