@@ -104,8 +104,8 @@ def deduplicated(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     per = materialize(
         decisions(docs, block).groupBy("doc_id", "text_sha256").agg(F.count_if("kept").alias("stay"), F.count("*").alias("n")).where("n > stay"), "exact-dropped"
     ).withColumnRenamed("doc_id", "_id").withColumnRenamed("text_sha256", "_sha")
-    sha = F.sha2(normalised(F.col("text")), 256)
-    on = docs["doc_id"].eqNullSafe(F.col("_id")) & (sha == F.col("_sha"))
+    sha = F.sha2(normalised(docs["text"]), 256)
+    on = docs["doc_id"].eqNullSafe(per["_id"]) & (sha == per["_sha"])
     n = per.count()
     if not n:
         return docs
@@ -113,7 +113,8 @@ def deduplicated(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     again = per.where("stay > 0")
     if again.isEmpty():
         return rest
-    names = docs.columns
-    twice = docs.withColumn("_rid", F.monotonically_increasing_id()).join(checked_broadcast(again, 120), on)
-    one = twice.groupBy("_id", "_sha").agg(F.max_by(F.struct(*names), F.struct(F.char_length("text"), "_rid")).alias("r")).select("r.*")
+    # Rows that repeat an id and a normalised text: the longest original text stays.
+    twice = docs.join(checked_broadcast(again, 120), docs["doc_id"].eqNullSafe(again["_id"]) & (sha == again["_sha"]), "left_semi")
+    order = F.struct(F.char_length(F.coalesce("text", F.lit(""))), F.coalesce("text", F.lit("")))
+    one = twice.groupBy(F.col("doc_id").alias("_id"), sha.alias("_sha")).agg(F.max_by(F.struct(*docs.columns), order).alias("r")).select("r.*")
     return rest.unionByName(one)

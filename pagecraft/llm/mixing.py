@@ -145,5 +145,6 @@ def remixed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     copies = F.floor(F.col("taken") / F.col("size") + F.lit(0.5)).cast("int")
     times = rows.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), copies.alias("_copies"))
     times = times.groupBy("_id", "_source", "_size").agg(F.max("_copies").alias("_copies")).where("_copies > 0")
-    on = docs["doc_id"].eqNullSafe(F.col("_id")) & docs["source"].eqNullSafe(F.col("_source")) & (size_of(docs["text"]) == F.col("_size"))
-    return docs.join(times, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    on = docs["doc_id"].eqNullSafe(times["_id"]) & docs["source"].eqNullSafe(times["_source"]) & (size_of(docs["text"]) == times["_size"])
+    each = F.explode(F.sequence(F.lit(1), times["_copies"])).alias("_copy")
+    return docs.join(times, on).select(*[docs[c] for c in docs.columns], each).toDF(*docs.columns, "_copy_of_row").drop("_copy_of_row")
