@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagecraft.llm.common import materialize
+from pagecraft.llm.common import let, materialize
 
 K_DOUBLINGS = 2
 W_DOUBLINGS = 2
@@ -28,23 +28,28 @@ NO_ID = (1 << 63) - 1
 
 
 def _neighbours(arr: Column, gap: int, f) -> Column:
-    return F.slice(F.zip_with(arr, F.slice(arr, F.lit(gap + 1), F.size(arr)), f), F.lit(1), F.greatest(F.size(arr) - gap, F.lit(0)))
+    """f(x[i], x[i + gap]) for all i that have both."""
+    return let(arr, lambda x: F.slice(F.zip_with(x, F.slice(x, F.lit(gap + 1), F.greatest(F.size(x), F.lit(1))), f), F.lit(1), F.greatest(F.size(x) - gap, F.lit(0))))
 
 
 def fingerprint(text: Column, k_doublings: int = K_DOUBLINGS, w_doublings: int = W_DOUBLINGS) -> Column:
+    none = F.array().cast("array<bigint>")
     words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]{1,16}"), F.lit(0))
-    hashes = F.transform(words, lambda x: F.xxhash64(x))
-    grams = hashes
-    for i in range(k_doublings):
-        grams = _neighbours(grams, 1 << i, lambda a, b: F.xxhash64(a, b))
-    short = F.when(F.size(hashes) > 0, F.array(F.xxhash64(hashes))).otherwise(F.array().cast("array<bigint>"))
-    grams = F.when(F.size(hashes) >= 1 << k_doublings, grams).otherwise(short)
-    keys = F.transform(grams, lambda h, i: F.shiftleft(F.shiftrightunsigned(h, 32), 31).bitwiseOR(F.lit(POSITION) - i))
-    least = keys
-    for i in range(w_doublings):
-        least = _neighbours(least, 1 << i, lambda a, b: F.least(a, b))
-    one = F.when(F.size(keys) > 0, F.array(F.array_min(keys))).otherwise(keys)
-    return F.array_distinct(F.when(F.size(keys) >= 1 << w_doublings, least).otherwise(one))
+
+    def grams(hashes: Column) -> Column:
+        out = hashes
+        for i in range(k_doublings):
+            out = _neighbours(out, 1 << i, lambda a, b: F.xxhash64(a, b))
+        return F.when(F.size(hashes) >= 1 << k_doublings, out).when(F.size(hashes) > 0, F.array(F.xxhash64(hashes))).otherwise(none)
+
+    def minima(keys: Column) -> Column:
+        least = keys
+        for i in range(w_doublings):
+            least = _neighbours(least, 1 << i, lambda a, b: F.least(a, b))
+        return F.when(F.size(keys) >= 1 << w_doublings, least).when(F.size(keys) > 0, F.array(F.array_min(keys))).otherwise(none)
+
+    keyed = F.transform(let(F.transform(words, lambda x: F.xxhash64(x)), grams), lambda h, i: F.shiftleft(F.shiftrightunsigned(h, 32), 31).bitwiseOR(F.lit(POSITION) - i))
+    return F.array_distinct(let(keyed, minima))
 
 
 def hashes(fp: Column) -> Column:
@@ -57,10 +62,12 @@ def positions(fp: Column) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """Jaccard similarity of two fingerprints' hashes."""
-    x, y = hashes(a), hashes(b)
-    common = F.size(F.array_intersect(x, y))
-    union = F.size(x) + F.size(y) - common
-    return F.when(union == 0, F.lit(1.0)).otherwise(common.cast("double") / union)
+
+    def jaccard(x: Column, y: Column) -> Column:
+        share = lambda common: F.when(F.size(x) + F.size(y) == 0, F.lit(1.0)).otherwise(common / (F.size(x) + F.size(y) - common))
+        return let(F.size(F.array_intersect(x, y)), share)
+
+    return let(hashes(a), lambda x: let(hashes(b), lambda y: jaccard(x, y)))
 
 
 def _digest(fp: Column) -> Column:
