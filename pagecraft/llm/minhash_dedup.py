@@ -2,10 +2,11 @@
 
 Each row's set of word shingles is hashed once; the hash space has K bins, each bin's minimum is the signature and an
 empty bin borrows from the bin that its own sequence of universal hashes reaches first. Bands of R bins are buckets.
-Rows with equal sets form one node, so copies never multiply. In a bucket a few centres are linked to all others
-(one centre in the first round, then 8, 64, ...); edges are confirmed on the full sets; pairs whose ends are
-already connected and buckets within one component need no more edges; rounds go on until no bucket holds an untested
-pair, so nothing is capped and all found buckets are resolved exactly.
+Rows with equal sets form one node, so copies never multiply. A bucket's most central node is linked to all others, and
+each such edge is confirmed on the full sets. Those that the centres leave unconnected make stars of their own a few
+times. Then all pairs of a star's members that are still in different components are searched exactly: their overlap
+is bounded by what each shares with the centre plus the items outside the centre's set that both have, which are joined
+by item; the pairs that the bound leaves are confirmed on the full sets. Nothing is capped.
 
 Defined results: null and empty texts have an empty set and are linked with nothing; fewer words than a shingle has
 give one shingle of all words; repeated rows are linked; a null doc_id never names a component while another member has
@@ -19,14 +20,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagecraft.llm.common import checked_broadcast, discard, materialize
 from pagecraft.llm.textkernel import chunks, mix, tokens
 
 BANDS, ROWS = 32, 4
-FIRST_CENTRES, MORE = 1, 8
+#: Rounds of stars among those that no centre has connected, before all their remaining pairs are searched.
+MORE_STARS = 2
 
 
 def shingle_sets(text: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -119,8 +121,12 @@ def _sets(width: int):
     return run
 
 
+#: Edges that a task of the components' iterations writes.
+PART_EDGES = 200_000
+
+
 def connected(edges: DataFrame) -> DataFrame:
-    """(v, root) for every node of edges (u, v): alternating large and small stars until nothing changes."""
+    """(v, root) for every node of edges (u, v) but the roots: alternating large and small stars until nothing changes."""
     now = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
     before = None
     while True:
@@ -131,16 +137,30 @@ def connected(edges: DataFrame) -> DataFrame:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = materialize(large, "cc-large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         new = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        after = materialize(new.distinct(), "cc")
+        after = materialize(new.distinct().coalesce(1 + state[0] // PART_EDGES), "cc")
         discard(now)
-        discard(large)
         now = after
 
 
+def _similar(common, n, m, percent: int):
+    return common * 100 >= (n + m - common) * percent
+
+
+def _rooted(df: DataFrame, root: DataFrame, node: str, name: str) -> DataFrame:
+    """df with the component of a node column; a node without links is its own."""
+    return df.join(root.select(F.col("v").alias(node), F.col("root").alias(name)), node, "left").withColumn(name, F.coalesce(name, node))
+
+
+def _merged(root: DataFrame, links: DataFrame) -> DataFrame:
+    """root after links (root_u, root_v) between components."""
+    more = connected(links.select(F.col("root_u").alias("u"), F.col("root_v").alias("v")))
+    onward = more.select(F.col("v").alias("root"), F.col("root").alias("onward"))
+    return materialize(root.join(onward, "root", "left").select("v", F.coalesce("onward", "root").alias("root")).unionByName(more), "roots")
+
+
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row; links have 100 * intersection >= percent * union."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -149,54 +169,75 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
         signed.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "nodes"
     )
     member = nodes.select(F.explode("bands").alias("bucket"), "node", "n")
-    crowded = member.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
-    member = materialize(member.join(crowded, "bucket"), "buckets")
-    linked, root, centres = None, None, FIRST_CENTRES
-    while True:
-        if root is None:
-            here = member.withColumn("root", F.col("node"))
-        else:
-            here = member.join(root.select(F.col("v").alias("node"), "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        if centres > FIRST_CENTRES:
-            mixed = here.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("bucket")
-            here = materialize(here.join(mixed, "bucket", "left_semi"), "buckets-left")
-            if here.isEmpty():
-                break
-        if centres == 1:
-            heads = here.groupBy("bucket").agg(F.min(F.struct("node", "n", "root")).alias("c")).select("bucket", "c.*")
+    crowded = member.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    member = materialize(member.join(crowded, "bucket"), "crowded")
+    # The more company a node has over all its buckets, the more central it is: the most central is its buckets' centre.
+    weight = member.groupBy("node").agg(F.sum("size").alias("weight"))
+    member = materialize(member.drop("size").join(weight, "node"), "buckets")
+    heads = member.groupBy("bucket").agg(F.max(F.struct("weight", "node", "n")).alias("c")).select("bucket", F.col("c.node").alias("u"), F.col("c.n").alias("n_u"))
+    star = member.join(heads, "bucket").where("node <> u").select("u", F.col("node").alias("v"), "n_u", F.col("n").alias("n_v"), F.col("weight").alias("w_v")).distinct()
+    star = materialize(_compared(src, nodes, materialize(star, "stars"), width, extra=True), "star-compared")
+    root = connected(star.where(_similar(F.col("common"), F.col("n_u"), F.col("n_v"), percent)).select("u", "v"))
+    for step in range(MORE_STARS + 1):
+        lit = materialize(_rooted(_rooted(star, root, "u", "root_u"), root, "v", "root_v"), "star-roots")
+        out = lit.where("root_u <> root_v")
+        if out.isEmpty():
+            break
+        if step < MORE_STARS:
+            # Those that their centre does not connect make a star of their own.
+            best = out.groupBy("u").agg(F.max(F.struct("w_v", "v", "n_v", "root_v")).alias("c")).select(F.col("u").alias("centre"), "c.v", "c.n_v", "c.root_v")
+            best = best.withColumnsRenamed({"v": "u", "n_v": "n_u", "root_v": "root_u"})
+            rest = out.select(F.col("u").alias("centre"), "v", "n_v", "root_v")
+            pairs = rest.join(best, "centre").where("u <> v AND root_u <> root_v").drop("centre").distinct()
         else:
-            rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-            heads = here.withColumn("rank", rank).where(F.col("rank") <= centres).drop("rank")
-        heads = heads.select("bucket", F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("root").alias("root_u"))
-        pairs = here.join(heads, "bucket").where((F.col("node") > F.col("u")) & (F.col("root") != F.col("root_u")))
-        pairs = pairs.where(F.least("n", "n_u") * 100 >= F.greatest("n", "n_u") * percent)
-        pairs = materialize(pairs.select("u", F.col("node").alias("v"), "n_u", "n").distinct(), "candidates")
-        good = materialize(_confirmed(src, nodes, pairs, width, percent), "links")
-        linked = good if linked is None else linked.unionByName(good)
-        root = connected(linked)
-        member = here.select("bucket", "node", "n").join(heads.select("bucket", F.col("u").alias("node")), ["bucket", "node"], "left_anti")
-        centres = centres * MORE
-    of = nodes.select("node", "first_id").join(root.select(F.col("v").alias("node"), "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+            pairs = _remaining(lit, out, percent)
+        near = F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * percent
+        checked = _compared(src, nodes, materialize(pairs.where(near), "candidates"), width)
+        links = materialize(checked.where(_similar(F.col("common"), F.col("n_u"), F.col("n_v"), percent)).select("root_u", "root_v").distinct(), "links")
+        root = _merged(root, links)
+    of = _rooted(nodes.select("node", "first_id"), root, "node", "root")
     least = of.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of = of.join(least, "root").select("node", "component_id")
     out = signed.drop("bands").join(of, "node", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _confirmed(src: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs whose full sets are similar enough. Texts of candidates only are read again for their sets."""
-    ends = materialize(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct(), "ends")
-    wanted = materialize(nodes.join(ends, "node", "left_semi").select(F.col("first_id").alias("wanted")).distinct(), "wanted")
-    read = src.join(checked_broadcast(wanted, 16), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
-    sets = read.mapInArrow(_sets(width), "node binary, items array<bigint>").join(ends, "node", "left_semi")
+def _remaining(lit: DataFrame, out: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a star's members, of different components, that can still be similar. What two sets share lies within the
+    centre's set, at most the smaller of their overlaps with it, or outside it, where the shared items are counted."""
+    x = out.select("u", F.col("v").alias("x"), F.col("n_v").alias("n_x"), F.col("common").alias("a_x"), F.col("extra").alias("e_x"), F.col("root_v").alias("root_x"))
+    y = lit.select("u", F.col("v").alias("y"), F.col("n_v").alias("n_y"), F.col("common").alias("a_y"), F.col("extra").alias("e_y"), F.col("root_v").alias("root_y"), (F.col("root_v") != F.col("root_u")).alias("out_y"))
+    names = ["x", "y", "n_x", "n_y", "root_x", "root_y"]
+    within = F.least("a_x", "a_y")
+    inside = x.where(F.col("a_x") * 100 >= F.col("n_x") * percent).drop("e_x").join(y.where(F.col("a_y") * 100 >= F.col("n_y") * percent).drop("e_y"), "u")
+    # Of two that the centre does not connect, one looks for the other.
+    once = (F.col("root_x") != F.col("root_y")) & (~F.col("out_y") | (F.col("x") < F.col("y")))
+    inside = inside.where(once & _similar(within, F.col("n_x"), F.col("n_y"), percent)).select(*names)
+    items_x = x.select("u", "x", "n_x", "a_x", "root_x", F.explode("e_x").alias("item"))
+    items_y = y.select("u", "y", "n_y", "a_y", "root_y", "out_y", F.explode("e_y").alias("item"))
+    most = within + F.least(F.col("n_x") - F.col("a_x"), F.col("n_y") - F.col("a_y"))
+    shared = items_x.join(items_y, ["u", "item"]).where(once & _similar(most, F.col("n_x"), F.col("n_y"), percent)).groupBy("u", "a_x", "a_y", *names).agg(F.count("*").alias("s"))
+    shared = shared.where(_similar(within + F.col("s"), F.col("n_x"), F.col("n_y"), percent)).select(*names)
+    first = F.col("x") < F.col("y")
+    pick = lambda c: [F.when(first, F.col(f"{c}_x")).otherwise(F.col(f"{c}_y")).alias(f"{c}_u"), F.when(first, F.col(f"{c}_y")).otherwise(F.col(f"{c}_x")).alias(f"{c}_v")]
+    return inside.unionByName(shared).select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"), *pick("n"), *pick("root")).distinct()
+
+
+def _compared(src: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, extra: bool = False) -> DataFrame:
+    """pairs (u, v, ...) with the size of the intersection of their full sets, and with what v has beyond u. Texts of candidates only are
+    read again for their sets."""
+    ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+    wanted = materialize(nodes.select("node", "first_id").join(ends, "node", "left_semi"), "wanted")
+    ids = wanted.select(F.col("first_id").alias("wanted")).distinct()
+    read = src.join(checked_broadcast(ids, 16), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
+    sets = read.mapInArrow(_sets(width), "node binary, items array<bigint>").join(wanted.select("node"), "node", "left_semi")
     sets = materialize(sets.groupBy("node").agg(F.first("items").alias("items")), "sets")
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("items").alias("items_u")), "u").join(sets.select(F.col("node").alias("v"), "items"), "v")
-    common = F.size(F.array_intersect("items", "items_u")).cast("long")
-    both = both.withColumn("common", common)
-    return both.where(F.col("common") * 100 >= (F.col("n") + F.col("n_u") - F.col("common")) * percent).select("u", "v")
+    more = [F.array_except("items", "items_u").alias("extra")] if extra else []
+    return both.select(*pairs.columns, F.size(F.array_intersect("items", "items_u")).cast("long").alias("common"), *more)
 
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """docs with one row of each group; repeated rows of the id that stays remain for exact dedup to drop."""
     gone = materialize(near_groups(docs, width, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-dropped")
-    return docs.join(checked_broadcast(gone, 16), docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(checked_broadcast(gone, 16), docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
