@@ -26,8 +26,8 @@ from pagecraft.llm.textkernel import chunks, mix, tokens
 
 ADD = 0.1
 PRIOR = 16.0
-SHARD_TOKENS = 1_500_000
-CHUNK_BYTES = 4 << 20
+SHARD_TOKENS = 1_000_000
+CHUNK_BYTES = 3 << 20
 #: The packed identifiers: words in 48 bits, the words before in 40.
 WORD_BITS, BEFORE_BITS = 48, 40
 END = np.uint64(0x123456789ABCDE1)
@@ -65,7 +65,7 @@ def _counting(batches):
             held_k.append(key)
             held_c.append(n)
             size += len(key)
-            if size > 3_000_000:
+            if size > 1_500_000:
                 yield from flush()
                 held_k, held_c, size = [], [], 0
     if held_k:
@@ -153,18 +153,24 @@ def _answering(total: int, distinct: int, heavy: np.ndarray, heavy_c: np.ndarray
         if table.column("shard")[0].as_py() < 0:
             return table
         parts = [_unpacked(b.as_py()) for b in table.column("blob")]
-        rows = table.column("rows").to_numpy().astype(np.int64)
-        offset = np.concatenate([[0], np.cumsum(rows)])
+        chunk, rows = table.column("chunk"), table.column("rows")
+        del table
+        n_rows = rows.to_numpy().astype(np.int64)
+        offset = np.concatenate([[0], np.cumsum(n_rows)])
         size = [len(p[0]) for p in parts]
         word, before = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        tag = np.concatenate([p[2] for p in parts]).astype(np.int64)
-        doc = (tag & 32767) + np.repeat(offset[:-1], size)
+        tag = np.concatenate([p[2] for p in parts])
+        del parts
+        doc = (tag & 32767).astype(np.int32) + np.repeat(offset[:-1].astype(np.int32), size)
         train = tag < 32768
         by = np.lexsort((before, word))
         word, before, doc, train = word[by], before[by], doc[by], train[by]
-        new_w = np.diff(word, prepend=~word[0]) != 0
-        new_p = new_w | (np.diff(before, prepend=0) != 0)
-        pair, w = np.cumsum(new_p) - 1, np.cumsum(new_w) - 1
+        del by, tag
+        new_w = np.ones(len(word), bool)
+        new_w[1:] = word[1:] != word[:-1]
+        new_p = new_w.copy()
+        new_p[1:] |= before[1:] != before[:-1]
+        pair, w = np.cumsum(new_p, dtype=np.int32) - np.int32(1), np.cumsum(new_w, dtype=np.int32) - np.int32(1)
         c_pair = np.bincount(pair, train, pair[-1] + 1)
         keys = word[new_w]
         c_word = np.bincount(w, train, len(keys))
@@ -173,6 +179,7 @@ def _answering(total: int, distinct: int, heavy: np.ndarray, heavy_c: np.ndarray
             c_word = np.where(heavy_key[place] == keys, heavy_n[place], c_word)
         p_word = (c_word + ADD) / base
         pair_word, pair_before = word[new_p], before[new_p]
+        del word, before
         of = w[new_p]
         known = c_pair > 0
         scale = total + prior  # keeps the stored values at or below 0
@@ -189,11 +196,11 @@ def _answering(total: int, distinct: int, heavy: np.ndarray, heavy_c: np.ndarray
         plain = np.bincount(doc, np.log10(c_word + ADD)[w], n)
         seen = np.bincount(doc, (c_word > 0)[w], n)
         out = []
-        for i in range(len(rows)):
+        for i in range(len(n_rows)):
             a, b = offset[i], offset[i + 1]
             at = np.flatnonzero(plain[a:b] != 0).astype(np.uint16)
             out.append(np.array([len(at)], "<u4").tobytes() + at.tobytes() + score[a:b][at].tobytes() + plain[a:b][at].tobytes() + seen[a:b][at].astype(np.uint32).tobytes())
-        return pa.table([pa.nulls(len(rows), pa.int64()).fill_null(0), table.column("chunk"), table.column("rows"), pa.array(out, pa.binary())], schema=_MAP)
+        return pa.table([pa.array(np.zeros(len(n_rows), np.int64)), chunk, rows, pa.array(out, pa.binary())], schema=_MAP)
 
     return run
 
