@@ -90,7 +90,8 @@ class Buffer:
 
 
 class Trie:
-    """Two levels: first words by rank, and under each its neighbours, with a quantised value for both.
+    """Two levels: first words by rank, and under each its neighbours, with a quantised value for both. The steps of a level
+    span the least to the largest of its own values, so none is clipped, however small.
 
     The neighbours' identifiers restart under each word; the sum of all earlier ranges' spans is added, so that one
     Elias-Fano sequence holds them all, and is taken off again when a range is searched."""
@@ -102,28 +103,32 @@ class Trie:
         self.span, self.n = span, len(first)
         pointers = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
         rank = np.repeat(np.arange(len(first)), counts)
-        self.low, self.high = -14.0, 0.0
         held = Buffer()
         spec = [EliasFano.parts(pointers, int(pointers[-1]) + 1), EliasFano.parts(second.astype(np.int64) + rank * span, len(first) * span)]
         where = [(s[0], s[1], *[held.put(a) for a in s[2:]]) for s in spec]
-        keys, q1, q2 = held.put(first), held.put(self._quantised(value1)), held.put(self._quantised(value2))
+        (self.scale1, steps1), (self.scale2, steps2) = self._quantised(value1), self._quantised(value2)
+        keys, q1, q2 = held.put(first), held.put(steps1), held.put(steps2)
         at = held.mapped()
         self.pointers, self.second = (EliasFano(w[0], w[1], *[at(a) for a in w[2:]]) for w in where)
         self.first, self.value1, self.value2 = at(keys), at(q1), at(q2)
         self.bytes, self.held = held.size, held
 
-    def _quantised(self, v: np.ndarray) -> np.ndarray:
-        return np.round((np.clip(v, self.low, self.high) - self.low) / (self.high - self.low) * self.STEPS).astype(np.uint16)
+    def _quantised(self, v: np.ndarray) -> tuple[tuple[float, float], np.ndarray]:
+        """((least value, size of a step), steps above the least) of the values."""
+        low, high = (float(v.min()), float(v.max())) if len(v) else (0.0, 0.0)
+        step = (high - low) / self.STEPS or 1.0
+        return (low, step), np.round((v - low) / step).astype(np.uint16)
 
-    def _value(self, q: np.ndarray) -> np.ndarray:
-        return self.low + q * ((self.high - self.low) / self.STEPS)
+    @staticmethod
+    def _value(q: np.ndarray, scale: tuple[float, float]) -> np.ndarray:
+        return scale[0] + q * scale[1]
 
     def find(self, word: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(rank of the word or -1, log10 value of the pair or NaN, log10 value of the word or NaN)."""
         rank = np.minimum(np.searchsorted(self.first, word), max(self.n - 1, 0)) if self.n else np.zeros(len(word), np.int64)
         known = self.first[rank] == word if self.n else np.zeros(len(word), bool)
         pair = np.full(len(word), np.nan)
-        single = np.where(known, self._value(self.value1[rank]), np.nan) if self.n else pair.copy()
+        single = np.where(known, self._value(self.value1[rank], self.scale1), np.nan) if self.n else pair.copy()
         at = np.flatnonzero(known)
         low, high = self.pointers.get(rank[at]), self.pointers.get(rank[at] + 1)
         low, end = low.astype(np.int64), high.astype(np.int64)
@@ -138,7 +143,7 @@ class Trie:
             open_ = open_[low[open_] < high[open_]]
         inside = np.flatnonzero(low < end)
         hit = inside[self.second.get(low[inside]).astype(np.int64) == goal[inside]]
-        pair[at[hit]] = self._value(self.value2[low[hit]])
+        pair[at[hit]] = self._value(self.value2[low[hit]], self.scale2)
         return np.where(known, rank, -1), pair, single
 
     def close(self) -> None:

@@ -182,13 +182,12 @@ def _answering(total: int, distinct: int, heavy: np.ndarray, heavy_c: np.ndarray
         del word, before
         of = w[new_p]
         known = c_pair > 0
-        scale = total + prior  # keeps the stored values at or below 0
         trie = Trie(
             keys, np.bincount(of[known], minlength=len(keys)), pair_before[known],
-            np.log10(prior * p_word / scale), np.log10((c_pair[known] + prior * p_word[of[known]]) / scale), 1 << BEFORE_BITS,
+            np.log10(prior * p_word), np.log10(c_pair[known] + prior * p_word[of[known]]), 1 << BEFORE_BITS,
         )
         _, found, single = trie.find(pair_word, pair_before)
-        value = np.where(np.isnan(found), single, found) + np.log10(scale)
+        value = np.where(np.isnan(found), single, found)
         trie.close()
         context = np.where(keys == end, 0.0, np.log10(c_word + prior))
         n = int(offset[-1])

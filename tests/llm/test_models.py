@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,6 +135,25 @@ def test_trie_finds_what_it_holds():
     trie.close()
 
 
+def test_language_model_tells_rare_words_in_a_large_corpus():
+    """Back-off values stay those of the formula at 4e9 training tokens, where they fall below 1e-14 of a token."""
+    total, distinct, counts = 4 * 10**9, 10**7, [0, 1, 3, 100, 11_000]
+    asked, held = 1 << 15, np.arange(1, len(counts) + 1)
+    word = np.concatenate([held, np.repeat(held, counts)]).astype(np.uint64)
+    before = np.concatenate([np.full(len(held), 7), np.full(sum(counts), 9)]).astype(np.uint64)
+    tag = np.concatenate([np.arange(len(held)) | asked, np.full(sum(counts), len(held))]).astype(np.uint16)
+    order = np.lexsort((tag, before, word))
+    row = pa.table([pa.array([0]), pa.array([0]), pa.array([len(held) + 1], pa.int32()), pa.array([lm._packed(word[order], before[order], tag[order])], pa.binary())], schema=lm._MAP)
+    none = np.zeros(0, np.uint64)
+    blob = lm._answering(total, distinct, none, np.zeros(0), lm.PRIOR)(row).column("blob")[0].as_py()
+    n = int(np.frombuffer(blob, "<u4", 1)[0])
+    at, score = np.frombuffer(blob[4 : 4 + 2 * n], np.uint16), np.frombuffer(blob[4 + 2 * n : 4 + 10 * n], np.float64)
+    got = dict(zip(at.tolist(), score, strict=True))
+    base = total + lm.ADD * (distinct + 1)
+    for i, c in enumerate(counts):
+        assert abs(got[i] - math.log10(lm.PRIOR * (c + lm.ADD) / base / (c + lm.PRIOR))) < 1e-3, (c, got[i])
+
+
 @pytest.fixture(scope="module")
 def voc():
     return lattice.vocabulary(lattice.model_path())
