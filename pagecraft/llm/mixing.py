@@ -10,6 +10,8 @@ to documents by index.
 Running offsets come from sums by bucket, so no source is ordered in one task, and slots are made from ranges of
 slots that are dealt out by index.
 
+The rows themselves (remixed) come as whole documents, rounded along each source without bias.
+
 Defined results: null text has size 0; a null source is a source of its own, last; rows of size 0 take 0;
 repeated rows are separate stretches of the stream; an empty table gives no rows; extra columns are ignored.
 """
@@ -29,6 +31,8 @@ MOST = 2.0
 BUCKETS = 1 << 10
 ROUNDS = 10
 CHUNK = 2048
+#: Rounding to whole documents: classes of sizes to a doubling, buckets of a class, and the unit of a copy's fractions.
+CLASSES, CLASS_BUCKETS, UNIT = 8, 64, 1 << 32
 
 
 def size_of(text: Column) -> Column:
@@ -72,9 +76,10 @@ def permuted(index: Column, n: Column, *key: Column, rounds: int = ROUNDS, inver
     return F.aggregate(order, start, step, lambda acc: acc["x"])
 
 
-def streams(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, sid, off, source_size, target): where each row lies in its source's stream."""
-    rows = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"))
+def streams(docs: DataFrame, *also: Column) -> DataFrame:
+    """(doc_id, source, size, also, sid, off, source_size, target): where each row lies in its source's stream."""
+    rows = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), *also)
+    more = rows.columns[3:]
     rows = rows.withColumn("sid", F.xxhash64(F.lit("source"), F.coalesce("source", F.lit("")), F.col("source").isNull())).withColumn(
         "bucket", F.pmod(F.xxhash64(F.lit("bucket"), "doc_id"), F.lit(BUCKETS))
     )
@@ -85,7 +90,7 @@ def streams(docs: DataFrame) -> DataFrame:
     base = sums.select("sid", "bucket", F.coalesce(F.sum("in_bucket").over(ahead), F.lit(0).cast("long")).alias("base"))
     aim = materialize(targets(sums.groupBy("source").agg(F.sum("in_bucket").alias("source_size"))), "mix-targets")
     aim = aim.withColumn("sid", F.xxhash64(F.lit("source"), F.coalesce("source", F.lit("")), F.col("source").isNull())).drop("source")
-    within = Window.partitionBy("sid", "bucket").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("sid", "bucket").orderBy("doc_id", "size", *more).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("off", F.coalesce(F.sum("size").over(within), F.lit(0).cast("long")))
     return rows.join(base, ["sid", "bucket"]).withColumn("off", F.col("off") + F.col("base")).drop("base", "bucket").join(aim, "sid")
 
@@ -123,7 +128,12 @@ def shard_counts(picked: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """doc_id, source, size, source_size, target, taken for every row of docs."""
-    rows = materialize(streams(docs), "mix-streams")
+    return _taken(docs, block).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def _taken(docs: DataFrame, block: int, *also: Column) -> DataFrame:
+    """The rows of streams() with the words taken of each."""
+    rows = materialize(streams(docs, *also), "mix-streams")
     aim = rows.select("sid", "source_size", "target").distinct()
     picked = slots(aim, block)
     use = picked.groupBy("sid", "block").agg(F.count_if(F.col("words") > 0).alias("times"), F.sum("words").alias("words"), F.collect_list("words").alias("each"))
@@ -136,15 +146,51 @@ def mixed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     zero = F.lit(0).cast("long")
     got = got.withColumn("got", F.aggregate("each", zero, lambda s, w: s + F.greatest(zero, F.least(w, F.col("end")) - F.col("begin"))))
     got = got.groupBy("sid", "off", "size").agg(F.sum("got").alias("taken"))
-    return rows.join(got, ["sid", "off", "size"], "left").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", zero).alias("taken"))
+    return rows.join(got, ["sid", "off", "size"], "left").withColumn("taken", F.coalesce("taken", zero))
+
+
+def with_copies(rows: DataFrame) -> DataFrame:
+    """rows (sid, off, size > 0, taken, ...) with copies: taken / size, rounded so that each row's expectation is exact.
+
+    Each source's rows, by size, are laid end to end by their fractions, from a start drawn by the source; a row gets one
+    copy more if a whole number falls into it. Counts never run ahead or behind by one copy, and as neighbours are of like
+    size, a source's words stay within some of its largest documents of those taken. The running sums come from sums by bucket."""
+    part = F.floor((F.col("taken") % F.col("size")) * F.lit(UNIT) / F.col("size")).cast("long")
+    rows = rows.withColumns({"part": part, "class": F.floor(F.log2(F.col("size")) * CLASSES).cast("int"), "bucket": F.pmod(F.xxhash64(F.lit("copies"), "off"), F.lit(CLASS_BUCKETS))})
+    keys = ["sid", "class", "bucket"]
+    sums = rows.groupBy(*keys).agg(F.sum("part").alias("in_bucket"))
+    before = Window.partitionBy("sid").orderBy("class", "bucket").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.pmod(F.xxhash64(F.lit("start"), "sid"), F.lit(UNIT))
+    base = sums.select(*keys, (start + F.coalesce(F.sum("in_bucket").over(before), F.lit(0))).alias("base"))
+    within = Window.partitionBy(*keys).orderBy("size", "off").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("stop", F.sum("part").over(within)).join(base, keys).withColumn("stop", F.col("stop") + F.col("base"))
+    passed = lambda x: F.shiftright(x, UNIT.bit_length() - 1)
+    copies = F.floor(F.col("taken") / F.col("size")) + passed(F.col("stop")) - passed(F.col("stop") - F.col("part"))
+    return rows.withColumn("copies", copies.cast("int")).drop("part", "class", "bucket", "stop", "base")
 
 
 def remixed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """docs, each row as often as the mix takes its words, rounded half up. Rows of size 0 are not taken."""
-    rows = materialize(mixed(docs, block).where("size > 0"), "mix-taken")
-    copies = F.floor(F.col("taken") / F.col("size") + F.lit(0.5)).cast("int")
-    times = rows.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), copies.alias("_copies"))
-    times = times.groupBy("_id", "_source", "_size").agg(F.max("_copies").alias("_copies")).where("_copies > 0")
-    on = docs["doc_id"].eqNullSafe(times["_id"]) & docs["source"].eqNullSafe(times["_source"]) & (size_of(docs["text"]) == times["_size"])
-    each = F.explode(F.sequence(F.lit(1), times["_copies"])).alias("_copy")
-    return docs.join(times, on).select(*[docs[c] for c in docs.columns], each).toDF(*docs.columns, "_copy_of_row").drop("_copy_of_row")
+    """docs, each row as often as the mix takes its words, rounded without bias. Rows of size 0 are not taken."""
+    digest = F.xxhash64("text")
+    names = {"doc_id": "_id", "source": "_source", "size": "_size", "_digest": "_digest"}
+    rows = with_copies(_taken(docs, block, digest.alias("_digest")).where("size > 0"))
+    # Rows that repeat id, source and text share their copies.
+    times = rows.groupBy(*[F.col(c).alias(n) for c, n in names.items()]).agg(F.count("*").alias("_n"), F.sum("copies").alias("_sum"))
+    times = materialize(times.where("_sum > 0"), "mix-copies")
+
+    def joined(some: DataFrame) -> DataFrame:
+        on = docs["doc_id"].eqNullSafe(some["_id"]) & docs["source"].eqNullSafe(some["_source"]) & (size_of(docs["text"]) == some["_size"]) & (digest_of == some["_digest"])
+        return docs.join(some, on)
+
+    def repeated(rows: DataFrame, n: Column) -> DataFrame:
+        each = F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("_copy_of_row")
+        return rows.select(*[F.col(f"`{c}`") for c in docs.columns], each).drop("_copy_of_row")
+
+    digest_of = F.xxhash64(docs["text"])
+    whole = F.floor(F.col("_sum") / F.col("_n"))
+    out = repeated(joined(times.where(whole > 0)), whole)
+    rest = times.where((F.col("_n") > 1) & (F.col("_sum") % F.col("_n") > 0))
+    if rest.isEmpty():
+        return out
+    one = joined(rest).groupBy("_id", "_source", "_size", "_digest").agg(F.first(F.struct(*[docs[c] for c in docs.columns])).alias("_r"), F.first(F.col("_sum") % F.col("_n")).alias("_more"))
+    return out.unionByName(repeated(one.select("_r.*", "_more"), F.col("_more")))

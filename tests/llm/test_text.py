@@ -174,6 +174,40 @@ def test_mixing(docs, raw, empty):
     assert mixing.remixed(docs).columns == docs.columns
 
 
+def test_remixed_words_meet_targets(spark):
+    """Whole documents add up to their source's target, also where each is taken by less than half, and repeated keys do not add rows."""
+    rng = random.Random(11)
+    rows = []
+    for source, words in (("a", 240_000), ("b", 96_000), ("c", 320_000), ("d", 240_000), ("e", 96_000), ("f", 8_000)):
+        while words > 0:
+            n = min(words, rng.choice((20, 200, 2000, 3000)))
+            rows.append((len(rows), f"{source}{len(rows)} " + "w " * (n - 1), source))
+            words -= n
+    # A third without an id, and the same id and size with other texts.
+    rows = [(None if i % 3 == 0 else i // 2 if i % 5 == 0 else i, t, s) for i, t, s in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    docs = mixing.materialize(docs, "test-docs")
+    words, long_ = Counter(), Counter()
+    for r in mixing.remixed(docs).select("source", mixing.size_of(F.col("text")).alias("n")).collect():
+        words[r["source"]] += r["n"]
+        long_[r["source"]] += r["n"] >= 2000
+    size = Counter()
+    for _, t, s in rows:
+        size[s] += len(t.split())
+    want = brute_targets(size)
+    assert want["c"] < 0.5 * size["c"]
+    assert all(abs(words[s] - want[s]) <= 6000 for s in want), (words, want)
+    had = sum(s == "c" and len(t.split()) >= 2000 for _, t, s in rows)
+    assert abs(long_["c"] - had * want["c"] / size["c"]) < 0.1 * had
+
+
+def test_remixed_shares_copies_of_repeated_rows(spark):
+    docs = mixing.materialize(spark.createDataFrame([(1, "x " * 40, "c")] * 90 + [(i, "y " * 40, "a") for i in range(30)], "doc_id long, text string, source string"), "test-docs")
+    took = {r["source"]: r["t"] for r in mixing.mixed(docs).groupBy("source").agg(F.sum("taken").alias("t")).collect()}
+    got = {r["source"]: r["count"] for r in mixing.remixed(docs).groupBy("source").count().collect()}
+    assert all(abs(40 * got[s] - took[s]) <= 40 for s in took), (got, took)
+
+
 def test_slots_permute(spark):
     n = 1000
     df = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(3)).alias("x"), F.col("id"))
