@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagecraft.llm.common import checked_broadcast, discard, materialize
@@ -88,11 +88,11 @@ def _digest(key: np.ndarray) -> bytes:
 
 
 def _signed(width: int, bands: int, rows_per_band: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0)
+            ids, digests = batch.column(0), batch.column(2)
             for lo, rows, offsets, key in shingle_sets(batch.column(1), width):
                 sig = signatures(offsets, key, bands * rows_per_band).reshape(rows, bands, rows_per_band)
                 band = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (rows, bands)).copy()
@@ -104,7 +104,7 @@ def _signed(width: int, bands: int, rows_per_band: int):
                     pa.array(np.concatenate([[0], np.cumsum(np.where(some, bands, 0))]).astype(np.int32)), pa.array(band[some].reshape(-1).view(np.int64))
                 )
                 node = [_digest(key[offsets[i] : offsets[i + 1]]) if some[i] else None for i in range(rows)]
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, rows), pa.array(n.astype(np.int64)), pa.array(node, pa.binary()), lists], schema=schema)
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, rows), digests.slice(lo, rows), pa.array(n.astype(np.int64)), pa.array(node, pa.binary()), lists], schema=schema)
 
     return run
 
@@ -163,8 +163,16 @@ def _merged(root: DataFrame, links: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row; links have 100 * intersection >= percent * union."""
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    signed = materialize(src.mapInArrow(_signed(width, bands, rows), "doc_id long, n_shingles long, node binary, bands array<bigint>"), "signed")
+    out = _grouped(docs, F.lit(None).cast("binary"), width, percent, bands, rows)
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _grouped(docs: DataFrame, digest: Column, width: int, percent: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """doc_id, digest, n_shingles, root, component_id for every row; root names the component, and is null for an empty set."""
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), digest.alias("digest"))
+    signed = src.mapInArrow(_signed(width, bands, rows), "doc_id long, digest binary, n_shingles long, node binary, bands array<bigint>")
+    signed = materialize(signed, "signed")
+    src = src.drop("digest")
     nodes = materialize(
         signed.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "nodes"
     )
@@ -197,9 +205,9 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
         root = _merged(root, links)
     of = _rooted(nodes.select("node", "first_id"), root, "node", "root")
     least = of.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of = of.join(least, "root").select("node", "component_id")
+    of = of.join(least, "root").select("node", "root", "component_id")
     out = signed.drop("bands").join(of, "node", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("doc_id", "digest", "n_shingles", "root", "component_id")
 
 
 def _remaining(lit: DataFrame, out: DataFrame, percent: int) -> DataFrame:
@@ -237,7 +245,29 @@ def _compared(src: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, ex
     return both.select(*pairs.columns, F.size(F.array_intersect("items", "items_u")).cast("long").alias("common"), *more)
 
 
+def _digest_of(text: Column) -> Column:
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
+
+
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one row of each group; repeated rows of the id that stays remain for exact dedup to drop."""
-    gone = materialize(near_groups(docs, width, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-dropped")
-    return docs.join(checked_broadcast(gone, 16), docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """docs with exactly one row of each component: one of its least id, or without an id if no member has one. Rows are told
+    apart by id and text, so that neither null nor repeated ids take others with them; of rows that repeat both, one stays."""
+    sides = _grouped(docs, _digest_of(F.col("text")), width, percent).where("root IS NOT NULL").groupBy("root", "doc_id", "digest").agg(F.count("*").alias("n"))
+    sides = materialize(sides, "near-members")
+    best = sides.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("digest").alias("digest"))).alias("best"), F.count("*").alias("members"), F.max("n").alias("most"))
+    some = sides.join(best.where("members > 1 OR most > 1").select("root", "best"), "root")
+    stays = F.col("doc_id").eqNullSafe(F.col("best.id")) & (F.col("digest") == F.col("best.digest"))
+    out = some.where(~stays | (F.col("n") > 1)).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), stays.alias("_stays"))
+    out = materialize(out, "near-dropped")
+    digest = _digest_of(docs["text"])
+
+    def on(gone: DataFrame) -> Column:
+        return docs["doc_id"].eqNullSafe(gone["_id"]) & (digest == gone["_digest"])
+
+    rest = docs.join(checked_broadcast(out, 64), on(out), "left_anti")
+    again = out.where("_stays")
+    if again.isEmpty():
+        return rest
+    twice = docs.join(checked_broadcast(again, 64), on(again), "left_semi")
+    one = twice.groupBy(F.col("doc_id").alias("_id"), _digest_of(F.col("text")).alias("_digest")).agg(F.first(F.struct(*docs.columns)).alias("_r")).select("_r.*")
+    return rest.unionByName(one)

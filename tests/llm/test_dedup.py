@@ -85,6 +85,27 @@ def test_near_chain_and_star(spark):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == components(rows, 2, 80)
 
 
+def test_near_keeps_one_row_of_each_component(spark):
+    """Null and repeated ids neither take unrelated rows with them nor keep near copies."""
+    say = lambda k, n=60: " ".join(f"{k}x{i}" for i in range(n))
+    rows = [(1, say("a")), (None, say("a") + " tail"), (None, say("b")), (None, say("c"))]  # c and b are clean
+    rows += [(None, say("d")), (None, say("d") + " tail"), (None, say("d") + " other")]  # one group without ids
+    rows += [(5, say("e")), (7, say("e") + " tail"), (7, say("f"))]  # 7's other text is clean
+    rows += [(8, say("g")), (8, say("h") + " tail"), (6, say("h")), (9, say("g") + " tail")]  # 8 stands for one group and goes from another
+    rows += [(4, say("k")), (4, say("k")), (10, None), (None, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r["doc_id"], r["text"]) for r in minhash_dedup.deduplicated(docs).collect())
+    group = defaultdict(list)
+    for i, t in rows:
+        group[t[0] if t else (i, t)].append((i, t))
+    for key, members in group.items():
+        kept = [x for x in members if got[x]]
+        ids = [i for i, _ in members if i is not None]
+        assert sum(got[x] for x in set(members)) == 1, (key, kept)
+        assert {x[0] for x in set(members) if got[x]} == {min(ids) if ids else None}
+    assert sum(got.values()) == len(group)
+
+
 def test_empty(empty):
     assert exact_dedup.decisions(empty).count() == 0
     assert minhash_dedup.near_groups(empty).count() == 0
