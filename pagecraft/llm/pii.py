@@ -25,7 +25,16 @@ IPV4 = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]*\d)"
 IBAN = r"\b[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 CARD = r"(?<![\d-])\d(?:[ -]?\d){12,18}(?!\d)"
-PHONE = r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}(?!\d)|(?<![\d+])\+\d{8,15}(?!\d)"
+_PLUS_AREA = "|".join(rf"\d{{{c}}}[ .-]?\(\d{{{a}}}\)(?:[ .-]?\d){{{max(1, 7 - c - a)},{15 - c - a}}}" for c in (1, 2, 3) for a in (1, 2, 3, 4, 5))
+_AREA = "|".join(rf"\(\d{{{a}}}\)[ .-]?\d(?:(?:[ .-](?=\d{{2}}))?\d){{{6 - a},{14 - a}}}" for a in (2, 3, 4, 5))
+#: 7 to 15 digits in groups of any length: after a plus, also groups of one digit; after an area code in parentheses; or two groups at least.
+PHONE = "|".join(
+    [
+        rf"(?<![\d+])\+(?:{_PLUS_AREA}|\d(?:[ .-]?\d){{6,14}})(?!\d)",
+        rf"(?<![\d+])(?:{_AREA})(?!\d)",
+        r"(?<![\d+])(?=\d{2,}[ .-]\d{2})\d(?:(?:[ .-](?=\d{2}))?\d){6,14}(?!\d)",
+    ]
+)
 FINDABLE = "|".join(
     [
         f"(?:{EMAIL})",

@@ -132,6 +132,21 @@ def test_pseudonyms(spark, empty):
     assert pii.report(empty).count() == 0
 
 
+def test_phones_with_groups_of_any_length(spark):
+    phones = [
+        "+44 7911 123456", "+49 30 1234567", "030 1234567", "555-1234567", "+33 6 12 34 56 78", "+447911123456", "+1 (743) 555-3824", "(030) 1234567", "+44 (0)20 7946 0958",
+        "(743) 555-3824", "743.555.3824", "+4915112345678", "0151 123 45678",
+    ]
+    other = ["1 2 3 4 5 6 7", "12 345", "+12 345", "1234567", "1234567890123456", "999.1.1.1", "(12) 34", "v 1.22.333"]
+    rows = [(i, f"call {p}, (or 22) 33") for i, p in enumerate(phones + other)]
+    got = {r["doc_id"]: r for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, p in enumerate(phones):
+        new = got[i]["text"].removeprefix("call ").removesuffix(", (or 22) 33")
+        assert got[i]["n_phone"] == 1 and len(new) == len(p) and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", p), (p, new)
+        assert new != p and sum(a == b for a, b in zip(new, p, strict=True) if b.isdigit()) < len(re.sub(r"\D", "", p)) * 0.7, (p, new)
+    assert all(got[len(phones) + i]["text"] == rows[len(phones) + i][1] for i in range(len(other)))
+
+
 def test_feistel_is_a_permutation(spark):
     df = spark.range(189 * 3).select(pii.feistel(F.col("id"), F.lit(189).cast("long"), F.lit(3).cast("long"), F.lit("t")).alias("x"))
     assert sorted(r["x"] for r in df.collect()) == list(range(189 * 3))
