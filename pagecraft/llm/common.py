@@ -9,7 +9,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only if it was counted and is below this many bytes.
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 8 << 20
+#: Arrow batches between the JVM and Python hold about this many bytes; a longer row makes a batch of its own.
+BATCH_BYTES = 2 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, with the session's Arrow batches bounded in bytes, as a batch of rows of any length is held several times over."""
+    conf = df.sparkSession.conf
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(conf.get(name).rstrip("b") or 0) <= BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

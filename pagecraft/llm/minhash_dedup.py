@@ -3,32 +3,44 @@
 Each row's set of word shingles is hashed once; the hash space has K bins, each bin's minimum is the signature and an
 empty bin borrows from the bin that its own sequence of universal hashes reaches first. Bands of R bins are buckets.
 Rows with equal sets form one node, so copies never multiply. A bucket's most central node is linked to all others, and
-each such edge is confirmed on the full sets. Those that the centres leave unconnected make stars of their own a few
-times. Then all pairs of a star's members that are still in different components are searched exactly: their overlap
-is bounded by what each shares with the centre plus the items outside the centre's set that both have, which are joined
-by item; the pairs that the bound leaves are confirmed on the full sets. Nothing is capped.
+each such edge is confirmed on the full sets. Those of a star that stay in other components than its centre make a star
+of their own, around a member of the component that most of them share, while more than RARE share one.
+
+What is left is searched exactly, star by star, among pairs of different components. Of an item that occurs once in a star
+beyond its centre nothing can be shared, so a member with too few items that others have is done. Else two members share at
+most what both share with the centre, what both have of the frequent other items, and their common rare items. A rare item
+occurs at most RARE times in its star, so the join on rare items grows in proportion to the input. Members look up the
+rarest of theirs only, as many as the bound needs. Pairs that the bounds leave are confirmed on the full sets. Nothing is capped.
+
+Words are 64-bit hashes, and a shingle is a hash of its words': two texts of n shingles have a false match with probability
+n**2 / 2**64, about 5e-12 for 10,000 shingles. A pair at similarity 0.8 shares no bucket with probability 5e-8.
 
 Defined results: null and empty texts have an empty set and are linked with nothing; fewer words than a shingle has
 give one shingle of all words; repeated rows are linked; a null doc_id never names a component while another member has
-an id; an empty table gives no rows; extra columns are ignored.
+an id; ties between centres go to the larger identifier; long texts are worked on whole; an empty table gives no rows; extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagecraft.llm.common import checked_broadcast, discard, materialize
+from pagecraft.llm.common import checked_broadcast, discard, materialize, small_batches
 from pagecraft.llm.textkernel import chunks, mix, tokens
 
 BANDS, ROWS = 32, 4
-#: Rounds of stars among those that no centre has connected, before all their remaining pairs are searched.
-MORE_STARS = 2
+#: An item that occurs more often than this among the members of a star is bounded by counts, not joined; and so many
+#: members of one component, beside the centre's, may meet in the last of a star's searches.
+RARE = 32
+#: Rows that repeat no id come after all ids.
+NO_ID = (1 << 63) - 1
 
 
 def shingle_sets(text: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -47,6 +59,10 @@ def shingle_sets(text: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndar
             inside = at + k < np.repeat(first[1:], take)
             part = h[np.minimum(at + k, max(len(h) - 1, 0))] if len(h) else h
             key = np.where(inside, mix(key * np.uint64(0x9E3779B97F4A7C15) + part + np.uint64(k + 1)), key)
+        if rows == 1:
+            key = np.unique(key)
+            yield lo, 1, np.array([0, len(key)], np.int64), key
+            continue
         order = np.lexsort((key, which))
         key, which = key[order], which[order]
         new = np.ones(len(key), bool)
@@ -126,13 +142,15 @@ PART_EDGES = 200_000
 
 
 def connected(edges: DataFrame) -> DataFrame:
-    """(v, root) for every node of edges (u, v) but the roots: alternating large and small stars until nothing changes."""
+    """(v, root) for every node of edges (u, v) but the roots, the least nodes: alternating large and small stars until nothing changes."""
     now = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
     before = None
     while True:
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if state == before:
-            return now.select(F.col("u").alias("v"), F.col("v").alias("root"))
+            out = now.select(F.col("u").alias("v"), F.col("v").alias("root"))
+            out._scratch_path = now._scratch_path
+            return out
         before = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -158,7 +176,10 @@ def _merged(root: DataFrame, links: DataFrame) -> DataFrame:
     """root after links (root_u, root_v) between components."""
     more = connected(links.select(F.col("root_u").alias("u"), F.col("root_v").alias("v")))
     onward = more.select(F.col("v").alias("root"), F.col("root").alias("onward"))
-    return materialize(root.join(onward, "root", "left").select("v", F.coalesce("onward", "root").alias("root")).unionByName(more), "roots")
+    out = materialize(root.join(onward, "root", "left").select("v", F.coalesce("onward", "root").alias("root")).unionByName(more), "roots")
+    discard(root)
+    discard(more)
+    return out
 
 
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -169,78 +190,118 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
 
 def _grouped(docs: DataFrame, digest: Column, width: int, percent: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, digest, n_shingles, root, component_id for every row; root names the component, and is null for an empty set."""
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), digest.alias("digest"))
+    src = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), digest.alias("digest"))
     signed = src.mapInArrow(_signed(width, bands, rows), "doc_id long, digest binary, n_shingles long, node binary, bands array<bigint>")
     signed = materialize(signed, "signed")
-    src = src.drop("digest")
-    nodes = materialize(
-        signed.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "nodes"
-    )
-    member = nodes.select(F.explode("bands").alias("bucket"), "node", "n")
+    # A node is named by its least id, so that a component's least node names the component, and by a number of its own.
+    nodes = signed.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    key = F.struct(F.coalesce("first_id", F.lit(NO_ID)).alias("id"), F.monotonically_increasing_id().alias("k"))
+    nodes = materialize(nodes.select("node", key.alias("v"), "n", "bands"), "nodes")
+    root = _linked(src.select("doc_id", "text"), nodes, width, percent)
+    of = _rooted(nodes.select("node", "v"), root, "v", "root")
+    out = signed.select("doc_id", "digest", "n_shingles", "node").join(of.select("node", "root"), "node", "left")
+    named = F.when(F.col("root.id") < NO_ID, F.col("root.id"))
+    return out.select("doc_id", "digest", "n_shingles", "root", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(named).alias("component_id"))
+
+
+def _linked(src: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+    """(v, root) for all nodes (node, v, n, bands) that are linked to a lesser one."""
+    member = nodes.select(F.explode("bands").alias("bucket"), "v", "n")
     crowded = member.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     member = materialize(member.join(crowded, "bucket"), "crowded")
     # The more company a node has over all its buckets, the more central it is: the most central is its buckets' centre.
-    weight = member.groupBy("node").agg(F.sum("size").alias("weight"))
-    member = materialize(member.drop("size").join(weight, "node"), "buckets")
-    heads = member.groupBy("bucket").agg(F.max(F.struct("weight", "node", "n")).alias("c")).select("bucket", F.col("c.node").alias("u"), F.col("c.n").alias("n_u"))
-    star = member.join(heads, "bucket").where("node <> u").select("u", F.col("node").alias("v"), "n_u", F.col("n").alias("n_v"), F.col("weight").alias("w_v")).distinct()
-    star = materialize(_compared(src, nodes, materialize(star, "stars"), width, extra=True), "star-compared")
-    root = connected(star.where(_similar(F.col("common"), F.col("n_u"), F.col("n_v"), percent)).select("u", "v"))
-    for step in range(MORE_STARS + 1):
-        lit = materialize(_rooted(_rooted(star, root, "u", "root_u"), root, "v", "root_v"), "star-roots")
-        out = lit.where("root_u <> root_v")
-        if out.isEmpty():
+    weight = member.groupBy("v").agg(F.sum("size").alias("w_v"))
+    placed = materialize(member.drop("size").join(weight, "v"), "buckets")
+    discard(member)
+    heads = placed.groupBy("bucket").agg(F.max(F.struct("w_v", "v", "n")).alias("c")).select("bucket", F.col("c.v").alias("u"), F.col("c.n").alias("n_u"))
+    group = placed.join(heads, "bucket").where("v <> u").select(F.col("u").alias("star"), "u", "n_u", "v", F.col("n").alias("n_v"), "w_v").distinct()
+    group = materialize(group, "star-0")
+    discard(placed)
+    sets = _sets_of(src, nodes.join(group.select("v").unionByName(group.select(F.col("u").alias("v"))).distinct(), "v", "left_semi"), width)
+    levels, root = [], None
+    while True:
+        level = materialize(_compared(sets, group, extra=True), "star-compared")
+        levels.append(level)
+        discard(group)
+        links = level.where(_similar(F.col("common"), F.col("n_u"), F.col("n_v"), percent))
+        root = connected(links.select("u", "v")) if root is None else _merged(root, _rooted(_rooted(links.select("u", "v"), root, "u", "root_u"), root, "v", "root_v").where("root_u <> root_v"))
+        out = materialize(_rooted(_rooted(level.select("star", "u", "v", "n_v", "w_v"), root, "u", "root_u"), root, "v", "root_v").where("root_u <> root_v"), "star-out")
+        shared = out.groupBy("star", "root_v").agg(F.count("*").alias("c"), F.max(F.struct("w_v", "v", "n_v")).alias("best"))
+        next_ = shared.groupBy("star").agg(F.max(F.struct("c", "best")).alias("m")).where(F.col("m.c") > RARE).select("star", F.col("m.best.v").alias("u"), F.col("m.best.n_v").alias("n_u"))
+        group = materialize(out.drop("u", "root_u", "root_v").join(next_, "star").where("v <> u"), f"star-{len(levels)}")
+        discard(out)
+        if group.isEmpty():
+            discard(group)
             break
-        if step < MORE_STARS:
-            # Those that their centre does not connect make a star of their own.
-            best = out.groupBy("u").agg(F.max(F.struct("w_v", "v", "n_v", "root_v")).alias("c")).select(F.col("u").alias("centre"), "c.v", "c.n_v", "c.root_v")
-            best = best.withColumnsRenamed({"v": "u", "n_v": "n_u", "root_v": "root_u"})
-            rest = out.select(F.col("u").alias("centre"), "v", "n_v", "root_v")
-            pairs = rest.join(best, "centre").where("u <> v AND root_u <> root_v").drop("centre").distinct()
-        else:
-            pairs = _remaining(lit, out, percent)
-        near = F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * percent
-        checked = _compared(src, nodes, materialize(pairs.where(near), "candidates"), width)
-        links = materialize(checked.where(_similar(F.col("common"), F.col("n_u"), F.col("n_v"), percent)).select("root_u", "root_v").distinct(), "links")
-        root = _merged(root, links)
-    of = _rooted(nodes.select("node", "first_id"), root, "node", "root")
-    least = of.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of = of.join(least, "root").select("node", "root", "component_id")
-    out = signed.drop("bands").join(of, "node", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "digest", "n_shingles", "root", "component_id")
-
-
-def _remaining(lit: DataFrame, out: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a star's members, of different components, that can still be similar. What two sets share lies within the
-    centre's set, at most the smaller of their overlaps with it, or outside it, where the shared items are counted."""
-    x = out.select("u", F.col("v").alias("x"), F.col("n_v").alias("n_x"), F.col("common").alias("a_x"), F.col("extra").alias("e_x"), F.col("root_v").alias("root_x"))
-    y = lit.select("u", F.col("v").alias("y"), F.col("n_v").alias("n_y"), F.col("common").alias("a_y"), F.col("extra").alias("e_y"), F.col("root_v").alias("root_y"), (F.col("root_v") != F.col("root_u")).alias("out_y"))
-    names = ["x", "y", "n_x", "n_y", "root_x", "root_y"]
-    within = F.least("a_x", "a_y")
-    inside = x.where(F.col("a_x") * 100 >= F.col("n_x") * percent).drop("e_x").join(y.where(F.col("a_y") * 100 >= F.col("n_y") * percent).drop("e_y"), "u")
-    # Of two that the centre does not connect, one looks for the other.
-    once = (F.col("root_x") != F.col("root_y")) & (~F.col("out_y") | (F.col("x") < F.col("y")))
-    inside = inside.where(once & _similar(within, F.col("n_x"), F.col("n_y"), percent)).select(*names)
-    items_x = x.select("u", "x", "n_x", "a_x", "root_x", F.explode("e_x").alias("item"))
-    items_y = y.select("u", "y", "n_y", "a_y", "root_y", "out_y", F.explode("e_y").alias("item"))
-    most = within + F.least(F.col("n_x") - F.col("a_x"), F.col("n_y") - F.col("a_y"))
-    shared = items_x.join(items_y, ["u", "item"]).where(once & _similar(most, F.col("n_x"), F.col("n_y"), percent)).groupBy("u", "a_x", "a_y", *names).agg(F.count("*").alias("s"))
-    shared = shared.where(_similar(within + F.col("s"), F.col("n_x"), F.col("n_y"), percent)).select(*names)
-    first = F.col("x") < F.col("y")
-    pick = lambda c: [F.when(first, F.col(f"{c}_x")).otherwise(F.col(f"{c}_y")).alias(f"{c}_u"), F.when(first, F.col(f"{c}_y")).otherwise(F.col(f"{c}_x")).alias(f"{c}_v")]
-    return inside.unionByName(shared).select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"), *pick("n"), *pick("root")).distinct()
-
-
-def _compared(src: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, extra: bool = False) -> DataFrame:
-    """pairs (u, v, ...) with the size of the intersection of their full sets, and with what v has beyond u. Texts of candidates only are
-    read again for their sets."""
-    ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    wanted = materialize(nodes.select("node", "first_id").join(ends, "node", "left_semi"), "wanted")
-    ids = wanted.select(F.col("first_id").alias("wanted")).distinct()
-    read = src.join(checked_broadcast(ids, 16), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
-    sets = read.mapInArrow(_sets(width), "node binary, items array<bigint>").join(wanted.select("node"), "node", "left_semi")
-    sets = materialize(sets.groupBy("node").agg(F.first("items").alias("items")), "sets")
-    both = pairs.join(sets.select(F.col("node").alias("u"), F.col("items").alias("items_u")), "u").join(sets.select(F.col("node").alias("v"), "items"), "v")
+    rows = reduce(DataFrame.unionByName, [x.withColumn("level", F.lit(i)) for i, x in enumerate(levels)])
+    pairs = materialize(_remaining(_rooted(_rooted(rows, root, "u", "root_u"), root, "v", "root_v"), percent), "candidates")
+    for level in levels:
+        discard(level)
+    found = _compared(sets, pairs).where(_similar(F.col("common"), F.col("n_u"), F.col("n_v"), percent)).select("root_u", "root_v").distinct()
+    found = materialize(found, "links")
+    root = root if found.isEmpty() else _merged(root, found)
+    for gone in (sets, pairs, found):
+        discard(gone)
+    return root
+
+
+def _least_common(n: Column, m: Column, percent: int) -> Column:
+    """The least intersection with which sets of these sizes are similar."""
+    return F.ceil((n + m) * percent / F.lit(100.0 + percent) - 1e-9).cast("long")
+
+
+def _remaining(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v, n_u, n_v, root_u, root_v) of a star's members, of different components, that can still be similar. rows are the stars'
+    members with what they share with the centre and what they have beyond it. Members that left for a later star are compared there:
+    in an earlier one with those of the centre's component only, in the last one with all."""
+    star = ["level", "star"]
+    out = F.col("root_u") != F.col("root_v")
+    rows = rows.select(*star, "v", "n_v", F.col("common").alias("a"), "extra", F.col("root_v").alias("root"), out.alias("out"))
+    sums = rows.groupBy(*star).agg(F.count("*").alias("members"), F.count_if("out").alias("outer"), F.min("n_v").alias("n_min"))
+    last = sums.groupBy("star").agg(F.max("level").alias("last"))
+    sums = sums.where("outer > 0 AND members > 1").join(last, "star").select(*star, "n_min", (F.col("level") == F.col("last")).alias("last"))
+    rows = materialize(rows.join(sums, star), "open")
+    items = rows.select(*star, "v", F.explode("extra").alias("item"))
+    often = items.groupBy(*star, "item").agg(F.count("*").alias("df")).where("df > 1")
+    per = items.join(often, [*star, "item"]).groupBy(*star, "v")
+    per = per.agg(F.count_if(F.col("df") > RARE).alias("f"), F.array_sort(F.collect_list(F.when(F.col("df") <= RARE, F.struct("df", "item")))).alias("rare"))
+    rows = rows.drop("extra").join(per, [*star, "v"], "left").withColumns({"f": F.coalesce("f", F.lit(0)), "r": F.coalesce(F.size("rare"), F.lit(0))})
+    need = _least_common(F.col("n_v"), F.greatest(F.col("n_min"), F.ceil(F.col("n_v") * percent / 100.0 - 1e-9).cast("long")), percent)
+    rows = rows.withColumn("need", need).where("a + f + r >= need")
+    bounded = materialize(rows, "bounded")
+    names = ["v", "n_v", "a", "f", "r", "root", "out"]
+    side = lambda df, s: df.select(*star, "last", *[F.col(c).alias(f"{c}_{s}") for c in names], *[c for c in df.columns if c == "item"])
+    # At least one of a pair lies outside the centre's component, and looks the other up; both do in the last star only, where the lesser does.
+    seeking, sought = bounded.where("out"), bounded.where("last OR NOT out")
+    once = (F.col("root_x") != F.col("root_y")) & (~F.col("out_y") | (F.col("v_x") < F.col("v_y")))
+    within = F.least("a_x", "a_y") + F.least("f_x", "f_y")
+    most = _least_common(F.col("n_v_x"), F.col("n_v_y"), percent)
+    inside = side(seeking.where("a + f >= need"), "x").join(side(sought.where("a + f >= need"), "y").drop("last"), star).where(once & (within >= most))
+    # Of k rare items that must be shared, all but k - 1 of the rarest hold one.
+    first = F.slice("rare", F.lit(1), F.greatest(F.lit(0), F.col("r") - F.greatest(F.lit(1), F.col("need") - F.col("a") - F.col("f")) + 1).cast("int"))
+    items_x = side(seeking.where("r > 0").withColumn("item", F.explode(F.transform(first, lambda s: s["item"]))), "x")
+    items_y = side(sought.where("r > 0").withColumn("item", F.explode(F.transform("rare", lambda s: s["item"]))), "y")
+    shared = items_x.join(items_y.drop("last"), [*star, "item"]).where(once & (within + F.least("r_x", "r_y") >= most))
+    lesser = F.col("v_x") < F.col("v_y")
+    pick = lambda c, name: [F.when(lesser, F.col(f"{c}_x")).otherwise(F.col(f"{c}_y")).alias(f"{name}_u"), F.when(lesser, F.col(f"{c}_y")).otherwise(F.col(f"{c}_x")).alias(f"{name}_v")]
+    ends = [F.least("v_x", "v_y").alias("u"), F.greatest("v_x", "v_y").alias("v"), *pick("n_v", "n"), *pick("root", "root")]
+    return inside.select(*ends).unionByName(shared.select(*ends)).distinct()
+
+
+def _sets_of(src: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(v, items) of the wanted nodes (node, v): the texts of one row of each are read again."""
+    wanted = materialize(wanted.select("node", "v"), "wanted")
+    ids = wanted.select(F.when(F.col("v.id") < NO_ID, F.col("v.id")).alias("wanted")).distinct()
+    read = src.join(checked_broadcast(ids, 64), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
+    sets = read.mapInArrow(_sets(width), "node binary, items array<bigint>").join(wanted, "node")
+    out = materialize(sets.groupBy("v").agg(F.first("items").alias("items")), "sets")
+    discard(wanted)
+    return out
+
+
+def _compared(sets: DataFrame, pairs: DataFrame, extra: bool = False) -> DataFrame:
+    """pairs (u, v, ...) with the size of the intersection of their full sets, and with what v has beyond u."""
+    both = pairs.join(sets, "v").join(sets.select(F.col("v").alias("u"), F.col("items").alias("items_u")), "u")
     more = [F.array_except("items", "items_u").alias("extra")] if extra else []
     return both.select(*pairs.columns, F.size(F.array_intersect("items", "items_u")).cast("long").alias("common"), *more)
 

@@ -8,7 +8,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are worked on in runs of about this many bytes; one longer text makes a run of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 256 << 10
+#: Spans are hashed in stretches of about this many bytes, so that the tables of powers stay small.
+SEGMENT = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -30,13 +32,17 @@ BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """_BASE**i and its inverse mod 2**64 for i < n."""
+    """_BASE**i and its inverse mod 2**64 for i < n; tables above SEGMENT are not kept."""
     if len(_powers["up"]) < n:
-        size = 1 << (n - 1).bit_length()
+        size = max(n, min(1 << (n - 1).bit_length(), SEGMENT + 1))
+        made = {}
         for name, by in (("up", _BASE), ("down", _INVERSE)):
             steps = np.full(size, by, np.uint64)
             steps[0] = 1
-            _powers[name] = np.cumprod(steps, dtype=np.uint64)
+            made[name] = np.cumprod(steps, dtype=np.uint64)
+        if size > SEGMENT + 1:
+            return made["up"][:n], made["down"][:n]
+        _powers.update(made)
     return _powers["up"][:n], _powers["down"][:n]
 
 
@@ -73,10 +79,31 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def one_hash(buf: np.ndarray, table: np.ndarray) -> np.uint64:
+    """span_hash of all of buf, by segments."""
+    total, up = 0, powers(min(len(buf), SEGMENT))[0]
+    for at in range(0, len(buf), SEGMENT):
+        part = table[buf[at : at + SEGMENT]]
+        total += int((part * up[: len(part)]).sum(dtype=np.uint64)) * pow(int(_BASE), at, 1 << 64)
+    return mix(np.array([(total + len(buf)) % (1 << 64)], np.uint64))[0]
+
+
+def disjoint_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """span_hash of ascending spans that do not overlap, a segment of buf at a time."""
+    out = np.empty(len(start), np.uint64)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + SEGMENT, "right")))
+        a, b = start[i], end[j - 1]
+        out[i:j] = one_hash(buf[a:b], table) if b - a > SEGMENT else span_hash(prefix_hash(buf[a:b], table), start[i:j] - a, end[i:j] - a)
+        i = j
+    return out
+
+
 def tokens(buf: np.ndarray, ends: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, start, end, hash) of the words `[^\\x20\\x09-\\x0D]+` of each row."""
     row, start, end = runs(buf, ends, ~SPACE)
-    return row, start, end, span_hash(prefix_hash(buf, BYTE[LOWER] if lower else BYTE), start, end)
+    return row, start, end, disjoint_hash(buf, start, end, BYTE[LOWER] if lower else BYTE)
 
 
 def runs(buf: np.ndarray, ends: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
