@@ -6,10 +6,15 @@ outside the vocabulary become byte pieces, so decoding gives the text back exact
 
 A text above GIANT_BYTES is split into chunks. A chunk's transfer matrix T[a, b] is the best score from a bytes into it to
 b bytes into the next one; between two certain cuts it is an outer sum of two vectors. Matrices combine associatively
-under (max, +) in a tree, which gives the best state at each boundary, and every chunk is then traced back on its own.
+under (max, +): by blocks of chunks, then along the blocks, then within each, which gives the best score of every state at every
+boundary. From these each chunk tells at which state it is entered for each state at which it is left; these maps compose
+from the end, and every chunk is then traced back on its own.
 
-Defined results: null and empty texts have no pieces; ties prefer the longer last piece; repeated rows each give a row;
-an empty table gives no rows; extra columns are ignored.
+Scores are whole numbers, so sums are exact, and the one rule for ties (at each place from the end, the longest piece of a
+best path) gives the same ids whether or not, and wherever, a text is split.
+
+Defined results: null and empty texts have no pieces; ties prefer the longer last piece; repeated rows each give a row; long texts
+are encoded whole; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,14 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagecraft.llm import lattice
-from pagecraft.llm.common import materialize
+from pagecraft.llm.common import discard, materialize, small_batches
 from pagecraft.llm.textkernel import BYTE, chunks, prefix_hash, span_hash
 
 GIANT_BYTES = 32 << 10
 CHUNK = 16 << 10
 #: A byte piece's score lies this far below all scores of pieces in use.
 BYTE_PENALTY = 10.0
-RUN_BYTES = 2 << 20
+RUN_BYTES = 512 << 10
+#: Chunks whose matrices one task multiplies.
+BLOCK_CHUNKS = 64
 
 
 def scores(voc: lattice.Vocabulary) -> np.ndarray:
@@ -39,16 +46,24 @@ def scores(voc: lattice.Vocabulary) -> np.ndarray:
     least = out[usable & (out > -1e8)].min()
     out[out < -1e8] = least - 1.0
     out[voc.byte_id] = least - 1.0 - BYTE_PENALTY
+    if (out != np.round(out)).any():  # a vocabulary with fractions: to 2**-10, so that sums stay exact
+        out = np.round(out * 1024) / 1024
     return out
 
 
-def solve(voc, score: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def solve(voc, score: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray, into: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(base, best, back, piece) for strings in by_length() order: at base[i] + j the best score of the first j bytes of
-    string i, and its last piece with that piece's length."""
+    string i, and its last piece with that piece's length. into: scores with which each string's first places are entered from
+    before it; a place that keeps its own has no last piece, as the piece that enters is the longer one."""
     base = np.cumsum(end - start + 1) - (end - start + 1)
     total = int(base[-1] + end[-1] - start[-1] + 1) if len(start) else 0
     best, back, piece = np.full(total, -np.inf), np.zeros(total, np.uint8), np.zeros(total, np.int32)
-    best[base] = 0.0
+    if into is None:
+        best[base] = 0.0
+    else:
+        for k in range(into.shape[1]):
+            some = end - start >= k
+            best[base[some] + k] = into[some, k]
     for j, size, at, ids in lattice.edges(voc, buf, start, end):
         to = base[at] + j
         value = best[to - size] + score[ids]
@@ -191,32 +206,36 @@ def combined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None, :, :]).max(axis=1)
 
 
-def boundary_states(mats: list[np.ndarray]) -> list[int]:
-    """The states 0, s1, ..., 0 at the boundaries of a best path, by a tree of products."""
-    tree: dict[tuple[int, int], np.ndarray] = {}
-
-    def build(lo: int, hi: int) -> np.ndarray:
-        if hi - lo == 1:
-            return mats[lo]
-        mid = (lo + hi) // 2
-        tree[lo, hi] = combined(build(lo, mid), build(mid, hi))
-        return tree[lo, hi]
-
-    def product(lo: int, hi: int) -> np.ndarray:
-        return mats[lo] if hi - lo == 1 else tree[lo, hi]
+def moved(state: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """A vector of the states' best scores, after a matrix."""
+    return (state[:, None] + m).max(axis=0)
 
-    build(0, len(mats))
-    out = [0] * (len(mats) + 1)
 
-    def descend(lo: int, hi: int) -> None:
-        if hi - lo > 1:
-            mid = (lo + hi) // 2
-            out[mid] = int((product(lo, mid)[out[lo]] + product(mid, hi)[:, out[hi]]).argmax())
-            descend(lo, mid)
-            descend(mid, hi)
-
-    descend(0, len(mats))
-    return out
+def entries(voc, score: np.ndarray, parts: list[tuple[bytes, int]], into: np.ndarray) -> np.ndarray:
+    """chunks x states: where the best path that leaves a chunk at a state enters it, by the one rule for ties. into: the best score
+    of each state at each chunk's start. Up to the first certain cut decides, if there is one that every path passes."""
+    states = voc.longest
+    start, end, cut, at = [], [], [], 0
+    for data, core in parts:
+        inner = cuts(np.frombuffer(data, np.uint8), np.zeros(0, np.int64))
+        inner = inner[(inner >= states - 1) & (inner <= core)]
+        start.append(at)
+        end.append(at + (int(inner[0]) if len(inner) else len(data)))
+        cut.append(len(inner) > 0)
+        at += len(data)
+    start, end, cut = np.array(start), np.array(end), np.array(cut)
+    order = lattice.by_length(start, end)
+    base, _, back, _ = solve(voc, score, np.frombuffer(b"".join(d for d, _ in parts), np.uint8), start[order], end[order], into[order])
+    place = np.empty(len(order), np.int64)
+    place[order] = base
+    core = np.array([c for _, c in parts])
+    leave = np.where(cut[:, None], (end - start)[:, None], np.minimum(core[:, None] + np.arange(states), (end - start)[:, None]))
+    spot = (place[:, None] + leave).reshape(-1)
+    live = np.flatnonzero(back[spot] > 0)
+    while len(live):
+        spot[live] -= back[spot[live]]
+        live = live[back[spot[live]] > 0]
+    return spot.reshape(len(parts), states) - place[:, None]
 
 
 def _measuring(path: str):
@@ -234,17 +253,77 @@ def _measuring(path: str):
     return run
 
 
-def _choosing(states: int):
-    schema = pa.schema([("rid", pa.int64()), ("chunk", pa.int32()), ("enter", pa.int32()), ("leave", pa.int32())])
+def _multiplying(states: int):
+    """A block's product, from its chunks' matrices."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("chunk")
-        path = boundary_states([np.frombuffer(b, np.float64).reshape(states, states) for b in table.column("matrix").to_pylist()])
-        return pa.table([table.column("rid"), table.column("chunk"), pa.array(path[:-1], pa.int32()), pa.array(path[1:], pa.int32())], schema=schema)
+        product = None
+        for b in table.column("matrix").to_pylist():
+            m = np.frombuffer(b, np.float64).reshape(states, states)
+            product = m if product is None else combined(product, m)
+        return pa.table([table.column("rid")[:1], table.column("block")[:1], pa.array([product.tobytes()], pa.binary())], names=["rid", "block", "matrix"])
+
+    return run
+
+
+def _starting(states: int):
+    """The states' best scores at the start of each block of a text, from the blocks' products."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("block")
+        at, out = np.full(states, -np.inf), []
+        at[0] = 0.0
+        for b in table.column("matrix").to_pylist():
+            out.append(at.tobytes())
+            at = moved(at, np.frombuffer(b, np.float64).reshape(states, states))
+        return pa.table([table.column("rid"), table.column("block"), pa.array(np.full(len(out), -1), pa.int32()), pa.array(out, pa.binary())], names=["rid", "block", "chunk", "matrix"])
 
     return run
 
 
+def _reaching(states: int):
+    """The states' best scores at the start of each chunk of a block, from those at the block's start (chunk -1)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("chunk")
+        at, *mats = [np.frombuffer(b, np.float64) for b in table.column("matrix").to_pylist()]
+        out = []
+        for m in mats:
+            out.append(at.tobytes())
+            at = moved(at, m.reshape(states, states))
+        return pa.table([table.column("rid")[1:], table.column("chunk")[1:], pa.array(out, pa.binary())], names=["rid", "chunk", "into"])
+
+    return run
+
+
+def _entering(path: str):
+    schema = pa.schema([("rid", pa.int64()), ("chunk", pa.int32()), ("entry", pa.binary())])
+
+    def run(batches):
+        voc = lattice.vocabulary(path)
+        score = scores(voc)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 32):
+                part = batch.slice(lo, 32)
+                into = np.stack([np.frombuffer(b, np.float64) for b in part.column("into").to_pylist()])
+                found = entries(voc, score, list(zip(part.column("data").to_pylist(), part.column("core").to_pylist(), strict=True)), into)
+                yield pa.RecordBatch.from_arrays([part.column("rid"), part.column("chunk"), pa.array([e.astype(np.uint8).tobytes() for e in found], pa.binary())], schema=schema)
+
+    return run
+
+
+def _choosing(table: pa.Table) -> pa.Table:
+    """The states at both ends of each chunk of a text, from the chunks' maps (a byte for each state), from the end."""
+    table = table.sort_by("chunk")
+    state, leave, enter = 0, [], []
+    for b in reversed(table.column("entry").to_pylist()):
+        leave.append(state)
+        state = b[state]
+        enter.append(state)
+    return pa.table([table.column("rid"), table.column("chunk"), pa.array(enter[::-1], pa.int32()), pa.array(leave[::-1], pa.int32())], names=["rid", "chunk", "enter", "leave"])
+
+
 def _tracing(path: str):
     schema = pa.schema([("rid", pa.int64()), ("chunk", pa.int32()), ("ids", pa.list_(pa.int32()))])
 
@@ -267,7 +346,7 @@ def encoded(docs: DataFrame, path: str | None = None, giant: int = GIANT_BYTES,
     """doc_id and ids (array of int) for every row of docs."""
     path = lattice.model_path(path)
     longest = lattice.vocabulary(path).longest
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    src = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     big = F.octet_length("text") > giant
     usual = src.where(~big).mapInArrow(_encoding(path), "doc_id long, ids array<int>")
     huge = materialize(src.where(big).withColumn("rid", F.monotonically_increasing_id()), "giant")
@@ -276,7 +355,13 @@ def encoded(docs: DataFrame, path: str | None = None, giant: int = GIANT_BYTES,
     parts = huge.select("rid", "text").repartition("rid").mapInArrow(_splitting(longest, chunk), "rid long, chunk int, chunks int, core int, data binary")
     parts = materialize(parts.repartition("rid", "chunk"), "giant-chunks")
     mats = parts.mapInArrow(_measuring(path), "rid long, chunk int, matrix binary")
-    states = mats.groupBy("rid").applyInArrow(_choosing(longest), "rid long, chunk int, enter int, leave int")
+    mats = materialize(mats.select("rid", F.floor(F.col("chunk") / BLOCK_CHUNKS).cast("int").alias("block"), "chunk", "matrix"), "giant-matrices")
+    starts = mats.groupBy("rid", "block").applyInArrow(_multiplying(longest), "rid long, block int, matrix binary")
+    starts = starts.groupBy("rid").applyInArrow(_starting(longest), "rid long, block int, chunk int, matrix binary")
+    reached = mats.unionByName(starts).groupBy("rid", "block").applyInArrow(_reaching(longest), "rid long, chunk int, into binary")
+    entry = parts.join(reached, ["rid", "chunk"]).select("rid", "chunk", "core", "data", "into").mapInArrow(_entering(path), "rid long, chunk int, entry binary")
+    states = materialize(entry.groupBy("rid").applyInArrow(_choosing, "rid long, chunk int, enter int, leave int"), "giant-states")
+    discard(mats)
     traced_ = parts.join(states, ["rid", "chunk"]).mapInArrow(_tracing(path), "rid long, chunk int, ids array<int>")
     whole = traced_.groupBy("rid").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"])).alias("ids"))
     return usual.unionByName(huge.select("rid", "doc_id").join(whole, "rid").select("doc_id", "ids"))
