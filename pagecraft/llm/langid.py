@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagecraft.llm import lattice
-from pagecraft.llm.common import crc_mod
+from pagecraft.llm.common import crc_mod, small_batches
 from pagecraft.llm.textkernel import chunks, tokens
 
 #: Labelled rows that the fit may use, for each language.
@@ -136,7 +136,7 @@ def _predict(names: list[str], prob: np.ndarray, prior: np.ndarray, path: str):
 def predicted(docs: DataFrame, learn, fit_rows: int = FIT_ROWS, path: str | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row; rows where learn (a Column) holds may be learned from."""
     path = lattice.model_path(path)
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", (~learn).alias("held_out"))
+    src = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", (~learn).alias("held_out"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("langid"), "doc_id"), "doc_id")
     labelled = src.where(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.char_length("text") <= FIT_CHARS))
     ids = labelled.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= fit_rows)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagecraft.llm.common import crc_mod, materialize
+from pagecraft.llm.common import crc_mod, materialize, small_batches
 from pagecraft.llm.textkernel import BYTE, LOWER, SPACE, chunks, prefix_hash, runs, span_hash
 
 #: Labelled rows that the fit may use.
@@ -261,7 +261,7 @@ def fitted(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = FI
 def scored(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, held_out (learn does not hold), score, predicted for every row of docs."""
     model = fitted(docs, labels, learn, fit_rows)
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (~learn).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
+    src = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), (~learn).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
     return src.mapInArrow(_scoring(*model), "doc_id long, held_out boolean, score double, predicted int")
 
 
@@ -279,7 +279,7 @@ def _keeping(lexicon, model, knots, share: float, columns: list[str], at: int):
 
 def clean(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = FIT_ROWS) -> DataFrame:
     """docs without the rows that are predicted toxic, all columns as they are."""
-    return docs.mapInArrow(_keeping(*fitted(docs, labels, learn, fit_rows), docs.columns, docs.columns.index("text")), docs.schema)
+    return small_batches(docs).mapInArrow(_keeping(*fitted(docs, labels, learn, fit_rows), docs.columns, docs.columns.index("text")), docs.schema)
 
 
 def learn_rule(doc_id: Column) -> Column:
