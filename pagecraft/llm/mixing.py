@@ -7,13 +7,14 @@ shard, so a shard's source counts are a multinomial draw given the totals. Slot
 the source's own pseudorandom permutation (swap-or-not rounds, a bijection on any range), and blocks are joined
 to documents by index.
 
-Running offsets come from sums by bucket, so no source is ordered in one task, and slots are made from ranges of
-slots that are dealt out by index.
+Running offsets come from sums by bucket, whose number follows the number of rows, so no source is ordered in one task, and slots
+are made from ranges of slots that are dealt out by index. Only the targets, one row for each source, are made in one task.
 
 The rows themselves (remixed) come as whole documents, rounded along each source without bias.
 
 Defined results: null text has size 0; a null source is a source of its own, last; rows of size 0 take 0;
-repeated rows are separate stretches of the stream; an empty table gives no rows; extra columns are ignored.
+repeated rows are separate stretches of the stream; ties in a bucket go by doc_id, then size; a long text is taken by its
+words like all others, in parts; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,20 +22,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagecraft.llm.common import materialize
+from pagecraft.llm.common import checked_broadcast, discard, materialize
 
 BLOCK = 64
 SHARD_SLOTS = 4096
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2.0
-BUCKETS = 1 << 10
+#: Rows of a bucket, about, if all were of one source, and the least number of buckets.
+BUCKET_ROWS, BUCKETS = 4096, 1 << 10
 ROUNDS = 10
-CHUNK = 2048
+#: Slots are made in ranges of this many, and so many ranges to a task.
+CHUNK, TASK_CHUNKS = 2048, 32
 #: Rounding to whole documents: classes of sizes to a doubling, buckets of a class, and the unit of a copy's fractions.
 CLASSES, CLASS_BUCKETS, UNIT = 8, 64, 1 << 32
 
 
+def buckets_for(rows: int) -> int:
+    return max(BUCKETS, -(-rows // BUCKET_ROWS))
+
+
 def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
@@ -80,10 +87,9 @@ def streams(docs: DataFrame, *also: Column) -> DataFrame:
     """(doc_id, source, size, also, sid, off, source_size, target): where each row lies in its source's stream."""
     rows = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), *also)
     more = rows.columns[3:]
-    rows = rows.withColumn("sid", F.xxhash64(F.lit("source"), F.coalesce("source", F.lit("")), F.col("source").isNull())).withColumn(
-        "bucket", F.pmod(F.xxhash64(F.lit("bucket"), "doc_id"), F.lit(BUCKETS))
-    )
-    rows = materialize(rows, "mix-sizes")
+    rows = materialize(rows.withColumn("sid", F.xxhash64(F.lit("source"), F.coalesce("source", F.lit("")), F.col("source").isNull())), "mix-sizes")
+    # By size too, so that rows that repeat an id, or have none, do not meet in one bucket.
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit("bucket"), "doc_id", "size", *more), F.lit(buckets_for(rows.count()))))
     sums = rows.groupBy("sid", "source", "bucket").agg(F.sum("size").alias("in_bucket"))
     sums = materialize(sums, "mix-buckets")
     ahead = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -92,7 +98,7 @@ def streams(docs: DataFrame, *also: Column) -> DataFrame:
     aim = aim.withColumn("sid", F.xxhash64(F.lit("source"), F.coalesce("source", F.lit("")), F.col("source").isNull())).drop("source")
     within = Window.partitionBy("sid", "bucket").orderBy("doc_id", "size", *more).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("off", F.coalesce(F.sum("size").over(within), F.lit(0).cast("long")))
-    return rows.join(base, ["sid", "bucket"]).withColumn("off", F.col("off") + F.col("base")).drop("base", "bucket").join(aim, "sid")
+    return rows.join(base, ["sid", "bucket"]).withColumn("off", F.col("off") + F.col("base")).drop("base", "bucket").join(checked_broadcast(aim, 64), "sid")
 
 
 def slots(aim: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS) -> DataFrame:
@@ -108,7 +114,9 @@ def slots(aim: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS) ->
     shards = F.greatest(F.lit(1).cast("long"), F.ceil(F.sum("count").over(Window.partitionBy()) / F.lit(shard_slots)).cast("long"))
     per = per.withColumn("shards", shards)
     parts = per.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("count") - 1) / F.lit(CHUNK)).cast("long"))))
-    parts = parts.repartition("sid", "part")
+    # A number of partitions of its own, as adaptive execution would put these few small rows into one task.
+    ranges = per.agg(F.sum(F.ceil(F.col("count") / F.lit(CHUNK)))).first()[0] or 0
+    parts = parts.repartition(max(1, -(-ranges // TASK_CHUNKS)), "sid", "part")
     low = F.col("part") * CHUNK
     each = parts.withColumn("slot", F.explode(F.sequence(low, F.least(low + CHUNK, F.col("count")) - 1)))
     each = each.withColumns({"epoch": F.floor(F.col("slot") / F.col("n")).cast("long"), "place": F.col("slot") % F.col("n")})
