@@ -15,6 +15,11 @@ def half_up(x: Column) -> Column:
     return F.floor(F.round(x, 9) + F.lit(0.5))
 
 
+def let(value: Column, use) -> Column:
+    """use(value), with value computed once for a row however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def is_hero(kind: Column) -> Column:
     return kind.startswith("hero")
 
@@ -29,6 +34,17 @@ def channels(hex_: Column) -> list[Column]:
     return [part(1), part(3), part(5)]
 
 
+def parsed(hex_: Column) -> Column:
+    """struct(hex, r, g, b, luma, sat), for what names a colour's numbers more than once. luma is 0..255."""
+
+    def numbers(n: Column) -> Column:
+        r, g, b = (F.shiftright(n, shift).bitwiseAND(F.lit(255)) for shift in (16, 8, 0))
+        return F.struct(hex_.alias("hex"), r.alias("r"), g.alias("g"), b.alias("b"), _luma(r, g, b).alias("luma"), hsl_of(r, g, b)[1].alias("sat"))
+
+    value = F.conv(F.nullif(F.regexp_extract(hex_, r"(?i)^#?([a-f0-9]{6})$", 1), F.lit("")), 16, 10).cast("int")
+    return F.when(hex_.isNotNull(), let(F.coalesce(value, F.lit(0)), numbers))
+
+
 def to_hex(r: Column, g: Column, b: Column) -> Column:
     return F.concat(F.lit("#"), *[F.lpad(F.lower(F.hex(c.cast("long"))), 2, "0") for c in (r, g, b)])
 
@@ -39,23 +55,30 @@ def rgb_text_to_hex(text: Column) -> Column:
     return F.when(F.size(numbers) >= 3, to_hex(*[F.get(numbers, F.lit(i)).cast("int") for i in range(3)])).otherwise(text)
 
 
+def _luma(r: Column, g: Column, b: Column) -> Column:
+    return r * F.lit(0.299) + g * F.lit(0.587) + b * F.lit(0.114)
+
+
 def luminance(hex_: Column) -> Column:
-    r, g, b = channels(hex_)
-    return (r * F.lit(0.299) + g * F.lit(0.587) + b * F.lit(0.114)) / F.lit(255.0)
+    return _luma(*channels(hex_)) / F.lit(255.0)
 
 
 def is_dark(hex_: Column) -> Column:
     return luminance(hex_) * 255.0 < 128
 
 
-def hsl(hex_: Column) -> tuple[Column, Column, Column]:
-    """Hue as a share of the circle, saturation and lightness in 0..1; of equal channels the first of r, g, b decides the hue."""
-    r, g, b = [c / F.lit(255.0) for c in channels(hex_)]
+def hsl_of(r: Column, g: Column, b: Column) -> tuple[Column, Column, Column]:
+    """Hue as a share of the circle, saturation and lightness in 0..1; of equal channels the first of r, g, b decides the hue. All are
+    quotients of whole numbers, so each is rounded once."""
     high, low = F.greatest(r, g, b), F.least(r, g, b)
-    d, light = high - low, (high + low) / 2
-    sat = F.when(d == 0, F.lit(0.0)).when(light > 0.5, F.try_divide(d, 2 - high - low)).otherwise(F.try_divide(d, high + low))
-    turn = F.when(high == r, F.try_divide(g - b, d) + F.when(g < b, 6).otherwise(0)).when(high == g, F.try_divide(b - r, d) + 2).otherwise(F.try_divide(r - g, d) + 4)
-    return F.when(d == 0, F.lit(0.0)).otherwise(turn / 6.0), sat, light
+    d, both = high - low, high + low
+    sat = F.when(d == 0, F.lit(0.0)).when(both > 255, F.try_divide(d, 510 - both)).otherwise(F.try_divide(d, both))
+    turn = F.when(high == r, g - b + F.when(g < b, d * 6).otherwise(0)).when(high == g, b - r + d * 2).otherwise(r - g + d * 4)
+    return F.when(d == 0, F.lit(0.0)).otherwise(F.try_divide(turn, d * 6)), sat, both / F.lit(510.0)
+
+
+def hsl(hex_: Column) -> tuple[Column, Column, Column]:
+    return hsl_of(*channels(hex_))
 
 
 def saturation(hex_: Column) -> Column:
@@ -100,6 +123,11 @@ def tone(hex_: Column, name: str) -> Column:
     return TONES[name](*channels(hex_))
 
 
+def gap(a: Column, b: Column) -> Column:
+    """The distance of two parsed() colours."""
+    return F.sqrt(sum(((a[c] - b[c]) * (a[c] - b[c]) for c in "rgb"), F.lit(0)).cast("double"))
+
+
 # Vectors as arrays of doubles.
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagecraft.functions import vocab
+from pagecraft.functions.scalars import let
 
 
 def usage(elements: DataFrame) -> DataFrame:
@@ -25,23 +26,37 @@ def _known() -> list[str]:
     return [f for p in vocab.FONT_PAIRINGS for f in (p[1], p[2])]
 
 
+#: Edits within which a name stands for a known font.
+EDITS = 3
+
+
 def resolved(font: Column, loaded: Column) -> Column:
     """The font that a name stands for: an alias, a loaded web font, a known font, a known font within three edits, else itself."""
+
+    def named(x: Column) -> Column:
+        bare, low = x["bare"], x["low"]
+        alias = reduce(lambda out, a: out.when(bare == a[0], a[1]), vocab.FONT_ALIASES[1:], F.when(bare == vocab.FONT_ALIASES[0][0], vocab.FONT_ALIASES[0][1]))
+        web = F.get(F.filter(loaded, lambda y: F.lower(y) == low), F.lit(0))
+        # Distances above the threshold are -1.
+        each = [F.struct(F.levenshtein(F.lit(f.lower()), low, EDITS).alias("d"), F.lit(i).alias("i"), F.lit(f).alias("font")) for i, f in enumerate(_known())]
+        near = F.array_min(F.filter(F.array(*each), lambda y: y["d"] >= 0))["font"]
+        return F.coalesce(alias, web, near, F.when(bare == "", "Inter").otherwise(bare))
+
     bare = F.regexp_replace(F.trim(font), "['\"]", "")
-    alias = reduce(lambda out, a: out.when(bare == a[0], a[1]), vocab.FONT_ALIASES[1:], F.when(bare == vocab.FONT_ALIASES[0][0], vocab.FONT_ALIASES[0][1]))
-    web = F.get(F.filter(loaded, lambda x: F.lower(x) == F.lower(bare)), F.lit(0))
-    near = F.array_min(F.array(*[F.struct(F.levenshtein(F.lit(f.lower()), F.lower(bare)).alias("d"), F.lit(i).alias("i"), F.lit(f).alias("font")) for i, f in enumerate(_known())]))
-    return F.when(font.isNull(), "Inter").otherwise(F.coalesce(alias, web, F.when(near["d"] <= 3, near["font"]), F.when(bare == "", "Inter").otherwise(bare)))
+    return F.when(font.isNull(), "Inter").otherwise(let(let(bare, lambda x: F.struct(x.alias("bare"), F.lower(x).alias("low"))), named))
 
 
 def pairing(heading: Column, body: Column) -> Column:
     """The id of the closest pairing: both fonts equal, then the heading, then the body, then the least sum of edits."""
-    each = []
-    for i, (id_, h, b, _, _) in enumerate(vocab.FONT_PAIRINGS):
-        dh, db = F.levenshtein(F.lit(h.lower()), F.lower(heading)), F.levenshtein(F.lit(b.lower()), F.lower(body))
-        tier = F.when((dh == 0) & (db == 0), 0).when(dh == 0, 1).when(db == 0, 2).otherwise(3)
-        each.append(F.struct(tier.alias("tier"), F.when(tier == 3, dh + db).otherwise(0).alias("d"), F.lit(i).alias("i"), F.lit(id_).alias("id")))
-    return F.array_min(F.array(*each))["id"]
+    known = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(id_).alias("id"), F.lit(h.lower()).alias("h"), F.lit(b.lower()).alias("b")) for i, (id_, h, b, _, _) in enumerate(vocab.FONT_PAIRINGS)])
+
+    def closest(x: Column) -> Column:
+        far = F.transform(known, lambda k: F.struct(F.levenshtein(k["h"], x["h"]).alias("dh"), F.levenshtein(k["b"], x["b"]).alias("db"), k.alias("k")))
+        tier = lambda y: F.when((y["dh"] == 0) & (y["db"] == 0), 0).when(y["dh"] == 0, 1).when(y["db"] == 0, 2).otherwise(3)
+        each = F.transform(far, lambda y: F.struct(tier(y).alias("tier"), F.when((y["dh"] != 0) & (y["db"] != 0), y["dh"] + y["db"]).otherwise(0).alias("d"), y["k"]["i"].alias("i"), y["k"]["id"].alias("id")))
+        return F.array_min(each)["id"]
+
+    return let(F.struct(F.lower(heading).alias("h"), F.lower(body).alias("b")), closest)
 
 
 def web_fonts(hrefs: Column) -> Column:

@@ -8,18 +8,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagecraft.functions import vocab
-from pagecraft.functions.scalars import distance, hsl, is_dark, luminance, saturation, shifted, tone
+from pagecraft.functions.scalars import TONES, channels, gap, hsl_of, parsed, shifted
 
 
-def visual_weight(area: Column, depth: Column, hex_: Column) -> Column:
-    _, s, light = hsl(hex_)
+def with_channels(rows: DataFrame) -> DataFrame:
+    """rows with r, g, b of hex as columns, so that expressions on them parse it once."""
+    return rows.withColumns(dict(zip(("r", "g", "b"), channels(F.col("hex")), strict=True)))
+
+
+def visual_weight(area: Column, depth: Column, *rgb: Column) -> Column:
+    _, s, light = hsl_of(*rgb)
     return area * F.when(depth < 5, 1.0).when(depth < 10, 0.5).otherwise(0.2) * (1 + s - F.abs(0.5 - light))
 
 
+#: Elements with a shorter side than this are not painted.
+LEAST_SIDE = 10
+
+
+def painted(elements: DataFrame) -> DataFrame:
+    """Elements (w, h, hex) with a background and sides of at least LEAST_SIDE pixels, with their area."""
+    return elements.where(F.col("hex").isNotNull() & (F.col("w") >= LEAST_SIDE) & (F.col("h") >= LEAST_SIDE)).withColumn("area", F.col("w") * F.col("h"))
+
+
 def top_colours(elements: DataFrame, k: int = 15) -> DataFrame:
     """comp_id, hex, rank, proportion: each composition's k heaviest colours, as shares of all its weight; ties by hex."""
-    weight = visual_weight(F.col("area"), F.col("depth"), F.col("hex"))
-    sums = elements.groupBy("comp_id", "hex").agg(F.sum(weight).alias("w"))
+    weight = visual_weight(F.col("area"), F.col("depth"), F.col("r"), F.col("g"), F.col("b"))
+    sums = with_channels(elements).groupBy("comp_id", "hex").agg(F.sum(weight).alias("w"))
     own = Window.partitionBy("comp_id")
     share = F.coalesce(F.try_divide(F.col("w"), F.sum("w").over(own)), F.lit(0.0))
     ranked = sums.withColumns({"proportion": share, "rank": F.row_number().over(own.orderBy(F.round("w", 6).desc(), "hex"))})
@@ -47,42 +61,57 @@ def signals(top: DataFrame) -> DataFrame:
     """comp_id with has_<tone> and <tone>_proportion over its top colours."""
     aggs = []
     for name, least in TONE_LEAST.items():
-        hit = tone(F.col("hex"), name)
+        hit = TONES[name](F.col("r"), F.col("g"), F.col("b"))
         aggs += [F.bool_or(hit & (F.col("proportion") > least)).alias(f"has_{name}"), F.sum(F.when(hit, F.col("proportion")).otherwise(0.0)).alias(f"{name}_proportion")]
-    return top.groupBy("comp_id").agg(*aggs)
+    return with_channels(top).groupBy("comp_id").agg(*aggs)
 
 
 def _first(arr: Column, test) -> Column:
-    return F.get(F.filter(arr, test), F.lit(0))
+    return F.get(F.filter(arr, test), F.lit(0))["hex"]
 
 
 def _most_saturated(arr: Column) -> Column:
-    """The first of the most saturated."""
-    return F.get(F.array_sort(F.transform(arr, lambda x, i: F.struct((-F.round(saturation(x), 9)).alias("s"), i.alias("i"), x.alias("hex")))), F.lit(0))
+    """struct(s, i, hex): minus the saturation, place and hex of the first of the most saturated."""
+    return F.array_min(F.transform(arr, lambda x, i: F.struct((-F.round(x["sat"], 9)).alias("s"), i.alias("i"), x["hex"].alias("hex"))))
+
+
+def _parsed(arr: Column) -> Column:
+    return F.transform(arr, parsed)
 
 
 def roles(palettes: DataFrame) -> DataFrame:
     """palettes with background, surface, text, accent and dark colours, and colour_roles of the first eight colours.
 
-    palettes: comp_id, colours (hexes, heaviest first), texts, accents (hexes, most frequent first), dark_perceived (or null)."""
-    c, t = F.col("colours"), F.col("texts")
+    palettes: comp_id, colours (hexes, heaviest first), texts, accents (hexes, most frequent first), dark_perceived (or null). Each hex is
+    parsed once, into a struct of its numbers, before anything compares it."""
+    dark = lambda x: x["luma"] < 128
+    p = palettes.withColumns({"_c": _parsed(F.col("colours")), "_t": _parsed(F.col("texts")), "_a": _parsed(F.col("accents"))})
+    c, t = F.col("_c"), F.col("_t")
     first = F.get(c, F.lit(0))
-    dark = F.coalesce("dark_perceived", F.coalesce(is_dark(first), F.lit(False)))
-    p = palettes.withColumns({"is_dark_theme": dark, "background": F.coalesce(first, F.lit(vocab.DEFAULT_BACKGROUND))})
-    bg = F.col("background")
+    p = p.withColumns({"is_dark_theme": F.coalesce("dark_perceived", F.coalesce(dark(first), F.lit(False))), "background": F.coalesce(first["hex"], F.lit(vocab.DEFAULT_BACKGROUND))})
+    theme = F.col("is_dark_theme")
+    text = F.coalesce(F.get("texts", F.lit(0)), F.when(theme, "#FFFFFF").otherwise("#1A1A1A"))
+    p = p.withColumns({"_bg": parsed(F.col("background")), "text_primary": text}).withColumn("_main", parsed(F.col("text_primary")))
+    bg, main = F.col("_bg"), F.col("_main")
     rest = F.slice(c, F.lit(2), F.greatest(F.size(c), F.lit(1)))
-    near = _first(rest, lambda x: (F.abs(luminance(x) - luminance(bg)) < 0.3) & (distance(x, bg) > 20))
-    text = F.coalesce(F.get(t, F.lit(0)), F.when(F.col("is_dark_theme"), "#FFFFFF").otherwise("#1A1A1A"))
-    p = p.withColumns({"surface": F.coalesce(near, F.when(F.col("is_dark_theme"), shifted(bg, 0.05)).otherwise(shifted(bg, -0.05))), "text_primary": text})
-    main = F.col("text_primary")
-    other = _first(t, lambda x: distance(x, main) > 30)
-    best = _most_saturated(F.filter(c, lambda x: (x != bg) & (distance(x, bg) > 40)))
-    accent = F.when(F.size("accents") > 0, _most_saturated(F.col("accents"))["hex"]).when(-best["s"] > 0.2, best["hex"]).otherwise(vocab.DEFAULT_ACCENT)
+    near = _first(rest, lambda x: (F.abs(x["luma"] / F.lit(255.0) - bg["luma"] / F.lit(255.0)) < 0.3) & (gap(x, bg) > 20))
+    best = _most_saturated(F.filter(c, lambda x: (x["hex"] != bg["hex"]) & (gap(x, bg) > 40)))
+    p = p.withColumns(
+        {
+            "_near": near,
+            "_other": _first(t, lambda x: gap(x, main) > 30),
+            "_best": best,
+            "_vivid": _most_saturated(F.col("_a"))["hex"],
+            "_dark": _first(c, lambda x: dark(x) & (x["hex"] != bg["hex"])),
+        }
+    )
+    b, m = F.col("background"), F.col("text_primary")
     p = p.withColumns(
         {
-            "text_secondary": F.coalesce(other, F.when(F.col("is_dark_theme"), shifted(main, -0.2)).otherwise(shifted(main, 0.2))),
-            "accent": accent,
-            "dark_bg": F.coalesce(_first(c, lambda x: is_dark(x) & (x != bg)), F.when(F.col("is_dark_theme"), "#000000").otherwise("#1A1A1A")),
+            "surface": F.coalesce("_near", F.when(theme, shifted(b, 0.05)).otherwise(shifted(b, -0.05))),
+            "text_secondary": F.coalesce("_other", F.when(theme, shifted(m, -0.2)).otherwise(shifted(m, 0.2))),
+            "accent": F.when(F.size("accents") > 0, F.col("_vivid")).when(-F.col("_best.s") > 0.2, F.col("_best.hex")).otherwise(vocab.DEFAULT_ACCENT),
+            "dark_bg": F.coalesce("_dark", F.when(theme, "#000000").otherwise("#1A1A1A")),
         }
     )
     # The roles in order; the first that a colour equals is its own.
@@ -91,10 +120,11 @@ def roles(palettes: DataFrame) -> DataFrame:
     def role(x: Column) -> Column:
         out = None
         for column, name in named.items():
-            out = F.when(x == F.col(column), name) if out is None else out.when(x == F.col(column), name)
-        return out.when(is_dark(x), "dark_element").otherwise("decorative")
+            hit = x["hex"] == F.col(column)
+            out = F.when(hit, name) if out is None else out.when(hit, name)
+        return out.when(dark(x), "dark_element").otherwise("decorative")
 
-    return p.withColumn("colour_roles", F.transform(F.slice(c, 1, 8), role))
+    return p.withColumn("colour_roles", F.transform(F.slice(c, 1, 8), role)).drop("_c", "_t", "_a", "_bg", "_main", "_near", "_other", "_best", "_vivid", "_dark")
 
 
 def kmeans(pixels: DataFrame, k: int = 8, steps: int = 20) -> DataFrame:

@@ -48,29 +48,40 @@ POINTS: tuple[tuple[str, tuple[tuple[str, int], ...]], ...] = (
 LEAST_POINTS = 25
 
 
-def points_sql(rules: tuple[tuple[str, int], ...], regex: str) -> str:
-    """The sum of a type's points as SQL. regex names the function that finds a pattern: regex(t, 'pattern')."""
-    out = []
-    for condition, points in rules:
-        while "{re:" in condition:
-            a = condition.index("{re:")
-            depth, b = 0, a
-            while True:
-                depth += {"{": 1, "}": -1}.get(condition[b], 0)
-                if not depth:
-                    break
-                b += 1
-            pattern = condition[a + 4 : b].replace("\\u20B9", "₹").replace("\\u2605", "★").replace("\\u2B50", "⭐").replace("\\u201C", "“").replace("\\u201D", "”")
-            found = f"{regex}(t, r'{pattern}')" if regex == "rlike" else f"{regex}(t, '{pattern}')"
-            condition = condition[:a] + found + condition[b + 1 :]
-        out.append(f"CASE WHEN {condition} THEN {points} ELSE 0 END")
-    return " + ".join(out)
+def _pieces(condition: str) -> list[str]:
+    """A condition cut at its patterns: text, pattern, text, pattern, ..., text."""
+    out, at = [], 0
+    while (a := condition.find("{re:", at)) >= 0:
+        depth, b = 1, a + 4
+        while True:
+            depth += {"{": 1, "}": -1}.get(condition[b], 0)
+            if not depth:
+                break
+            b += 1
+        out += [condition[at:a], condition[a + 4 : b]]
+        at = b + 1
+    return [*out, condition[at:]]
+
+
+def points_sql(rules: tuple[tuple[str, int], ...], found) -> str:
+    """The sum of a type's points as SQL. found(pattern) is the SQL that tells whether a pattern occurs in the text."""
+    parts = lambda c: "".join(found(x) if i % 2 else x for i, x in enumerate(_pieces(c)))
+    return " + ".join(f"CASE WHEN {parts(condition)} THEN {points} ELSE 0 END" for condition, points in rules)
 
 
 def classified(features: DataFrame) -> DataFrame:
-    """features with type and confidence: the most points win, the first declared on ties, under LEAST_POINTS none does."""
-    each = [F.struct(F.expr(points_sql(rules, "rlike")).alias("points"), F.lit(-i).alias("ord"), F.lit(name).alias("type")) for i, (name, rules) in enumerate(POINTS)]
-    best = features.withColumn("_best", F.array_max(F.array(*each)))
+    """features with type and confidence: the most points win, the first declared on ties, under LEAST_POINTS none does. What several
+    types ask (patterns, the points of any hero) is a column of its own before the points are added up."""
+    patterns = list(dict.fromkeys(x for _, rules in POINTS for condition, _ in rules for x in _pieces(condition)[1::2]))
+    names = {x: f"_p{i}" for i, x in enumerate(patterns)}
+    asked = features.withColumns({n: F.rlike("t", F.lit(x)) for x, n in names.items()} | {"_hero": F.expr(points_sql(HERO, names.get))})
+    columns = {}
+    for name, rules in POINTS:
+        own = rules[len(HERO) :] if rules[: len(HERO)] == HERO else rules
+        columns[f"_k_{name}"] = F.expr(points_sql(own, names.get)) + (F.col("_hero") if own is not rules else 0)
+    counted = asked.withColumns(columns).drop(*names.values())
+    each = [F.struct(F.col(f"_k_{name}").alias("points"), F.lit(-i).alias("ord"), F.lit(name).alias("type")) for i, (name, _) in enumerate(POINTS)]
+    best = counted.withColumn("_best", F.array_max(F.array(*each))).drop("_hero", *columns)
     won = F.col("_best.points") >= LEAST_POINTS
     return best.withColumns(
         {"type": F.when(won, F.col("_best.type")).otherwise("unknown"), "confidence": F.when(won, F.least(F.col("_best.points") / 100.0, F.lit(1.0))).otherwise(0.0)}

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagecraft.functions import vocab
-from pagecraft.functions.scalars import half_up, is_hero, rhythm, saturation
+from pagecraft.functions.scalars import half_up, is_hero, let, rhythm, saturation
 
 
 def _mean(arr: Column) -> Column:
@@ -24,7 +24,6 @@ def vector(s: Column, dark_theme: Column, gold: Column, maroon: Column, accent:
     n = F.greatest(F.size(s), F.lit(1))
     share = lambda test: F.size(F.filter(s, test)) / n
     some = lambda test: _flag(F.exists(s, test))
-    types = F.transform(s, lambda x: x["type"])
     hero = F.coalesce(F.get(F.filter(s, lambda x: is_hero(x["type"])), F.lit(0))["ratio"], F.lit(0.0))
     cols = F.array_max(F.concat(F.transform(s, lambda x: F.when(x["cols"] > 0, x["cols"]).otherwise(1)), F.array(F.lit(1))))
     features = [
@@ -43,7 +42,10 @@ def vector(s: Column, dark_theme: Column, gold: Column, maroon: Column, accent:
         F.coalesce(maroon, F.lit(0.0)),
         F.when(accent.isNull(), 0.5).otherwise(saturation(accent)),
     ]
-    return F.array(*[_flag(F.array_contains(types, t)) for t in vocab.SECTION_TYPES], *features)
+    # One pass over a composition's distinct types, not one for each flag.
+    known = F.array(*[F.lit(t) for t in vocab.SECTION_TYPES])
+    flags = let(F.array_distinct(F.transform(s, lambda x: x["type"])), lambda types: F.transform(known, lambda t: _flag(F.array_contains(types, t))))
+    return F.concat(flags, F.array(*features))
 
 
 def fingerprint(s: Column) -> Column:

@@ -35,10 +35,11 @@ FACTS_SQL = f"""facts AS (SELECT *, {RHYTHM} AS rhythm, {_first("starts_with(x.t
         round(list_sum({_HEIGHTS}[1:CAST(ceil(n / 2) AS INTEGER)]) / nullif(list_sum({_HEIGHTS}), 0), 9) AS share FROM nested)"""
 QUALITY_SQL = f"{fx.KEPT_SQL}, {FACTS_SQL}, scored AS (SELECT *, greatest(0, least(100, {HALF_UP(SCORE)})) AS quality_score FROM facts)"
 
-_MAX, _MIN = "greatest(r, g, b) / 255.0::DOUBLE", "least(r, g, b) / 255.0::DOUBLE"
-HSL_SQL = f"""hsl AS (SELECT *, ({_MAX} + {_MIN}) / 2 AS light, CASE WHEN {_MAX} = {_MIN} THEN 0.0 WHEN ({_MAX} + {_MIN}) / 2 > 0.5 THEN ({_MAX} - {_MIN}) / (2 - {_MAX} - {_MIN})
-        ELSE ({_MAX} - {_MIN}) / ({_MAX} + {_MIN}) END AS sat, CASE WHEN {_MAX} = {_MIN} THEN 0.0 WHEN r >= g AND r >= b THEN ((g - b) / (255.0::DOUBLE * ({_MAX} - {_MIN})) + CASE WHEN g < b THEN 6 ELSE 0 END) / 6
-        WHEN g >= b THEN ((b - r) / (255.0::DOUBLE * ({_MAX} - {_MIN})) + 2) / 6 ELSE ((r - g) / (255.0::DOUBLE * ({_MAX} - {_MIN})) + 4) / 6 END AS hue, (0.299::DOUBLE * r + 0.587::DOUBLE * g + 0.114::DOUBLE * b) AS luma FROM rgb)"""
+HSL_SQL = """hsl AS (SELECT *, (hi + lo) / 510.0::DOUBLE AS light,
+        CASE WHEN hi = lo THEN 0.0 WHEN hi + lo > 255 THEN (hi - lo)::DOUBLE / (510 - hi - lo) ELSE (hi - lo)::DOUBLE / (hi + lo) END AS sat,
+        CASE WHEN hi = lo THEN 0.0 WHEN r = hi AND g >= b THEN (g - b)::DOUBLE / (6 * (hi - lo)) WHEN r = hi THEN (g - b + 6 * (hi - lo))::DOUBLE / (6 * (hi - lo))
+            WHEN g = hi THEN (b - r + 2 * (hi - lo))::DOUBLE / (6 * (hi - lo)) ELSE (r - g + 4 * (hi - lo))::DOUBLE / (6 * (hi - lo)) END AS hue,
+        (0.299::DOUBLE * r + 0.587::DOUBLE * g + 0.114::DOUBLE * b) AS luma FROM (SELECT *, greatest(r, g, b) AS hi, least(r, g, b) AS lo FROM rgb))"""
 COLOUR_SQL = f"{fx.COLOURS_SQL}, {HSL_SQL}"
 TOP_SQL = f"""{COLOUR_SQL},
     weighed AS (SELECT comp_id, hex, any_value(r) AS r, any_value(g) AS g, any_value(b) AS b, any_value(sat) AS sat, any_value(luma) AS luma,
@@ -101,7 +102,7 @@ def _wcos(a: str, b: str) -> str:
 
 
 def _classify() -> str:
-    best = ", ".join(f"{{'points': {sections.points_sql(rules, 'regexp_matches')}, 'ord': {-i}, 'type': '{name}'}}" for i, (name, rules) in enumerate(sections.POINTS))
+    best = ", ".join(f"{{'points': {sections.points_sql(rules, lambda p: f"regexp_matches(t, '{p}')")}, 'ord': {-i}, 'type': '{name}'}}" for i, (name, rules) in enumerate(sections.POINTS))
     return f"""WITH {fx.FEATURES_SQL}, b AS (SELECT comp_id, si, list_max([{best}]) AS best FROM feature)
         SELECT comp_id, si, CASE WHEN best.points >= 25 THEN best.type ELSE 'unknown' END AS type, CASE WHEN best.points >= 25 THEN least(best.points / 100.0::DOUBLE, 1.0) ELSE 0.0 END AS confidence FROM b"""
 
