@@ -53,13 +53,31 @@ class EliasFano:
         before = np.where(byte > 0, sums[rows, np.maximum(byte - 1, 0)], 0)
         place = (block * BLOCK + byte) * 8 + _SELECT[inside[rows, byte], left - before]
         high = (place - i).astype(np.uint64) << np.uint64(self.low_bits)
+        return high | self.low_part(i)
+
+    def low_part(self, i: np.ndarray) -> np.ndarray:
+        """The low bits of values[i]."""
         if not self.low_bits:
-            return high
+            return np.zeros(len(i), np.uint64)
         at = i.astype(np.uint64) * np.uint64(self.low_bits)
         word, shift = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
         low = self.low[word] >> shift
         low |= np.where(shift > 0, self.low[word + 1] << ((np.uint64(64) - shift) & np.uint64(63)), np.uint64(0))
-        return high | (low & np.uint64((1 << self.low_bits) - 1))
+        return low & np.uint64((1 << self.low_bits) - 1)
+
+    def below(self, high: np.ndarray) -> np.ndarray:
+        """How many values have upper bits under high: the ones ahead of that many zeros."""
+        gaps = np.arange(len(self.ranks), dtype=np.int64) * (8 * BLOCK) - self.ranks
+        goal = np.minimum(high, gaps[-1])
+        block = np.maximum(np.searchsorted(gaps, goal, "left") - 1, 0)
+        left = goal - gaps[block]
+        inside = ~self.high[block[:, None] * BLOCK + np.arange(BLOCK)]
+        sums = np.cumsum(_COUNT[inside], axis=1, dtype=np.int16)
+        byte = np.minimum((sums < left[:, None]).sum(axis=1), BLOCK - 1)
+        rows = np.arange(len(goal))
+        before = np.where(byte > 0, sums[rows, np.maximum(byte - 1, 0)], 0)
+        place = (block * BLOCK + byte) * 8 + _SELECT[inside[rows, byte], np.maximum(left - before - 1, 0)]
+        return np.where(high > 0, np.minimum(place - goal + 1, self.n), 0)
 
 
 class Buffer:
@@ -130,14 +148,21 @@ class Trie:
         pair = np.full(len(word), np.nan)
         single = np.where(known, self._value(self.value1[rank], self.scale1), np.nan) if self.n else pair.copy()
         at = np.flatnonzero(known)
-        low, high = self.pointers.get(rank[at]), self.pointers.get(rank[at] + 1)
-        low, end = low.astype(np.int64), high.astype(np.int64)
-        high = end.copy()
+        # Each word's range once, for neighbours that ask under the same word one after another.
+        head = np.flatnonzero(np.diff(rank[at], prepend=-1))
+        times = np.diff(np.append(head, len(at)))
+        low = np.repeat(self.pointers.get(rank[at][head]).astype(np.int64), times)
+        end = np.repeat(self.pointers.get(rank[at][head] + 1).astype(np.int64), times)
         goal = other[at].astype(np.int64) + rank[at] * self.span
+        # Successor search: within the word's range, those with the goal's upper bits, then by halves over their low bits.
+        upper = goal >> self.second.low_bits
+        low = np.maximum(low, np.minimum(self.second.below(upper), end))
+        high = np.maximum(low, np.minimum(self.second.below(upper + 1), end))
+        part = goal.astype(np.uint64) & np.uint64((1 << self.second.low_bits) - 1)
         open_ = np.flatnonzero(low < high)
-        while len(open_):  # successor search: the first neighbour that is not below the goal
+        while len(open_):
             middle = (low[open_] + high[open_]) // 2
-            below = self.second.get(middle).astype(np.int64) < goal[open_]
+            below = self.second.low_part(middle) < part[open_]
             low[open_] = np.where(below, middle + 1, low[open_])
             high[open_] = np.where(below, high[open_], middle)
             open_ = open_[low[open_] < high[open_]]

@@ -138,20 +138,28 @@ def test_trie_finds_what_it_holds():
 def test_language_model_tells_rare_words_in_a_large_corpus():
     """Back-off values stay those of the formula at 4e9 training tokens, where they fall below 1e-14 of a token."""
     total, distinct, counts = 4 * 10**9, 10**7, [0, 1, 3, 100, 11_000]
-    asked, held = 1 << 15, np.arange(1, len(counts) + 1)
-    word = np.concatenate([held, np.repeat(held, counts)]).astype(np.uint64)
-    before = np.concatenate([np.full(len(held), 7), np.full(sum(counts), 9)]).astype(np.uint64)
-    tag = np.concatenate([np.arange(len(held)) | asked, np.full(sum(counts), len(held))]).astype(np.uint16)
-    order = np.lexsort((tag, before, word))
-    row = pa.table([pa.array([0]), pa.array([0]), pa.array([len(held) + 1], pa.int32()), pa.array([lm._packed(word[order], before[order], tag[order])], pa.binary())], schema=lm._MAP)
+    held = np.arange(1, len(counts) + 1).astype(np.uint64)
+    word, before = np.repeat(held, 2), np.tile(np.array([7, 9], np.uint64), len(counts))
+    trained = np.stack([np.zeros(len(counts), np.int64), counts], axis=1).reshape(-1)  # none after 7, all after 9
+    row = pa.table([pa.array([0]), pa.array([0]), pa.array([lm._packed(word, before, trained)], pa.binary())], schema=lm._MAP)
     none = np.zeros(0, np.uint64)
-    blob = lm._answering(total, distinct, none, np.zeros(0), lm.PRIOR)(row).column("blob")[0].as_py()
-    n = int(np.frombuffer(blob, "<u4", 1)[0])
-    at, score = np.frombuffer(blob[4 : 4 + 2 * n], np.uint16), np.frombuffer(blob[4 + 2 * n : 4 + 10 * n], np.float64)
-    got = dict(zip(at.tolist(), score, strict=True))
+    blob = lm._answering(total, distinct, none, np.zeros(0, np.int64), lm.PRIOR)(row).column("blob")[0].as_py()
+    scale, c, _, _, codes, _ = lm._arrays(blob)
+    assert c.tolist() == counts
+    got = scale[0] + codes[::2] * scale[1]
     base = total + lm.ADD * (distinct + 1)
     for i, c in enumerate(counts):
-        assert abs(got[i] - math.log10(lm.PRIOR * (c + lm.ADD) / base / (c + lm.PRIOR))) < 1e-3, (c, got[i])
+        assert abs(got[i] - math.log10(lm.PRIOR * (c + lm.ADD) / base)) < 1e-3, (c, got[i])
+
+
+def test_words_that_share_a_hash(spark, docs, monkeypatch):
+    """Two words of one hash are found by their second one, and another salt is taken."""
+    real = lm.disjoint_hash
+    weak = lm._table(0)
+    monkeypatch.setattr(lm, "disjoint_hash", lambda buf, start, end, table: real(buf, start, end, table) & np.uint64(0xFFF) if (table == weak).all() else real(buf, start, end, table))
+    batch = pa.RecordBatch.from_arrays([pa.array([" ".join(f"w{i}" for i in range(9000))])], names=["text"])
+    shared = [sum((b.column("least").to_numpy() < b.column("most").to_numpy()).sum() for b in lm._counting(salt)([batch])) for salt in (0, 1)]
+    assert shared[0] > 0 and shared[1] == 0
 
 
 @pytest.fixture(scope="module")
