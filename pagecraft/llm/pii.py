@@ -1,7 +1,7 @@
 """Format-preserving pseudonyms for personal numbers, dates and addresses.
 
 One pass over a text finds e-mail addresses, IPv4 addresses, dates, card numbers, IBANs, social-security-like numbers and
-phone numbers. What passes its kind's check (calendar, Luhn, mod 97, octets up to 255, digit counts) is
+phone numbers. What passes its kind's check (calendar, Luhn, mod 97, octets up to 255, areas and groups in use, numbering plans) is
 permuted by a keyed Feistel network within its own format: the separators stay, check digits are made anew, a date becomes
 a date of the same 400-year cycle, letters become letters and digits digits. The permutation depends on the key and
 the value alone, so equal values stay linked across documents, also when their separators differ.
@@ -9,8 +9,15 @@ the value alone, so equal values stay linked across documents, also when their s
 Rounds add a keyed SHA-256 of one half to the other, modulo its size; the halves may differ in size, so any product of
 two sizes is a domain and no value has to be walked on.
 
+A phone number has a plus, a country code in use and 8 to 15 digits; or, without a plus, the shape of a national plan: North American
+groups and leading digits, a trunk zero with 9 to 12 digits, an area of three digits ahead of seven, or three groups and more of two
+to four digits (the last up to five) with one separator and 8 to 12 digits, not all years. Country codes and trunk digits stay, and
+North American numbers become such numbers. Ranges of years, decimals and version numbers have none of these shapes. An e-mail's domain
+stays, as it names a provider; letters keep their case.
+
 Defined results: a null text stays null, without findings; repeated rows each give a row with the same pseudonyms;
-what fails its check stays as it is; an empty table gives no rows; extra columns are ignored.
+of overlapping findings the leftmost counts, and of kinds that fit one finding the first of RULES; what fails its check stays as it
+is; long texts are worked on whole, in time that grows with their length; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,9 +25,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagecraft.llm.common import let
+
 KEY = "pagecraft-demo-key"
 ROUNDS = 8
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+#: Anchored and possessive, with the lengths that names may have, so that a long run of letters is read once.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,63}"
 IPV4 = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]*\d)"
 IBAN = r"\b[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
@@ -32,7 +42,7 @@ PHONE = "|".join(
     [
         rf"(?<![\d+])\+(?:{_PLUS_AREA}|\d(?:[ .-]?\d){{6,14}})(?!\d)",
         rf"(?<![\d+])(?:{_AREA})(?!\d)",
-        r"(?<![\d+])(?=\d{2,}[ .-]\d{2})\d(?:(?:[ .-](?=\d{2}))?\d){6,14}(?!\d)",
+        r"(?<![\d+])(?<!\d[.-])(?:1[ .-](?=\d{3}[ .-]))?(?=\d{2,}[ .-]\d{2})\d(?:(?:[ .-](?=\d{2}))?\d){6,14}(?!\d)",
     ]
 )
 FINDABLE = "|".join(
@@ -47,6 +57,10 @@ FINDABLE = "|".join(
         f"(?:{PHONE})",
     ]
 )
+# The country codes in use, by zones.
+COUNTRY = r"^(1|7|20|27|2[1-69]\d|3[0-469]|3[578]\d|4[013-9]|42\d|5[1-8]|5[09]\d|6[0-6]|6[7-9]\d|8[1246]|8[058]\d|9[0-58]|9[67]\d|99[2-68])"
+#: Area and exchange of a North American number, and its sizes as a product.
+AMERICAN = r"^[2-9]\d\d[2-9]\d{6}$"
 DIGITS = "0123456789"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 #: Days of the Gregorian cycle of 400 years, as a product of two sizes.
@@ -173,7 +187,8 @@ def _emails(value: Column) -> tuple[Column, Column]:
     letters = permute_symbols(_only(low, "[^a-z]"), LETTERS, "mail")
     digits = permute_symbols(_only(low, "[^0-9]"), DIGITS, "mail")
     filled = _refill(_refill(low, letters, "[a-z]"), digits, "[0-9]")
-    return F.lit(True), F.concat(filled, F.lit("@"), F.substring_index(value, "@", -1))
+    cased = F.zip_with(F.split(filled, ""), F.split(local, ""), lambda n, o: F.when(F.rlike(o, F.lit("[A-Z]")), F.upper(n)).otherwise(n))
+    return F.lit(True), F.concat(F.array_join(cased, ""), F.lit("@"), F.substring_index(value, "@", -1))
 
 
 def _ibans(value: Column) -> tuple[Column, Column]:
@@ -186,20 +201,71 @@ def _ibans(value: Column) -> tuple[Column, Column]:
     return F.char_length(text).between(15, 34) & (_mod97(text) == 1), _refill(value, full, "[A-Z0-9]")
 
 
-def _numbers(value: Column, kind: str, least: int, most: int) -> tuple[Column, Column]:
-    digits = _only(value, "[^0-9]")
-    return F.char_length(digits).between(least, most), _refill(value, permute_symbols(digits, DIGITS, kind), "[0-9]")
+def _long(value: int) -> Column:
+    return F.lit(value).cast("long")
+
+
+def _ssns(value: Column) -> tuple[Column, Column]:
+    """Areas 001 to 899 but 666, groups from 01, serials from 0001; the pseudonym is one of these."""
+    area, group, serial = (F.substring(value, at, n).cast("long") for at, n in ((1, 3), (5, 2), (8, 4)))
+    ok = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
+    place = ((area - F.when(area > 666, 2).otherwise(1)) * 99 + group - 1) * 9999 + serial - 1
+
+    def shown(x: Column) -> Column:
+        area = F.floor(x / (99 * 9999)).cast("long")
+        parts = ((area + F.when(area >= 665, 2).otherwise(1), 3), (F.floor(x / 9999).cast("long") % 99 + 1, 2), (x % 9999 + 1, 4))
+        return F.concat_ws("-", *[F.lpad(n.cast("string"), size, "0") for n, size in parts])
+
+    return ok, let(feistel(place, _long(898 * 99), _long(9999), F.lit("ssn")), shown)
+
+
+def _phones(value: Column) -> tuple[Column, Column]:
+    plus = value.startswith("+")
+
+    def judged(x: Column) -> Column:
+        digits, sizes, n = x["digits"], x["sizes"], F.char_length(x["digits"])
+        code = F.when(plus, F.regexp_extract(digits, COUNTRY, 1)).when(digits.startswith("0"), "0").when((n == 11) & digits.startswith("1"), "1").otherwise("")
+        rest = F.substring(digits, F.char_length(code) + 1, n)
+        american = F.rlike(rest, F.lit(AMERICAN)) & code.isin("", "1")
+        one = lambda c: F.rlike(value, F.lit(rf"^\d+(?:{c}\d+){{2,}}$"))
+        years = F.forall(x["groups"], lambda g: (F.char_length(g) == 4) & g.between("1000", "2099"))
+        inner, last = F.slice(sizes, F.lit(1), F.size(sizes) - 1), F.element_at(sizes, -1)
+        grouped = (one("-") | one(" ") | one(r"\.")) & F.forall(inner, lambda s: s.between(2, 4)) & last.between(2, 5) & n.between(8, 12) & ~years
+        decimal = F.rlike(value, F.lit(r"^\d+\.\d+$"))
+        plan = (
+            (american & sizes.isin(F.array(F.lit(3), F.lit(3), F.lit(4)), F.array(F.lit(1), F.lit(3), F.lit(3), F.lit(4)), F.array(F.lit(3), F.lit(7))))
+            | ((code == "0") & n.between(9, 12) & ~decimal)
+            | (F.rlike(value, F.lit(r"^[2-9]\d\d-\d{7}$")))
+            | (~value.startswith("(") & grouped)
+        )
+        abroad = (code != "") & n.between(8, 15) & ((code != "1") | american)
+        number = rest.cast("long")
+        # Area and exchange start at 2, so the number's place among them is a product of two sizes.
+        place = (F.floor(number / 10_000_000) - 200) * 8_000_000 + number % 10_000_000 - 2_000_000
+
+        def dialled(y: Column) -> Column:
+            return F.concat((F.floor(y / 8_000_000) + 200).cast("string"), (y % 8_000_000 + 2_000_000).cast("string"))
+
+        new = F.when(american, let(feistel(place, _long(800), _long(8_000_000), F.lit("phone")), dialled)).otherwise(permute_symbols(rest, DIGITS, "phone"))
+        return F.struct(F.when(plus, abroad).otherwise(plan).alias("ok"), F.concat(code, new).alias("digits"))
+
+    groups = F.regexp_extract_all(value, F.lit(r"\d+"), F.lit(0))
+    facts = F.struct(_only(value, "[^0-9]").alias("digits"), groups.alias("groups"), F.transform(groups, lambda g: F.char_length(g)).alias("sizes"))
+    out = let(facts, judged)
+    return out["ok"], _refill(value, out["digits"], "[0-9]")
 
 
+#: Kinds whose shape is theirs alone: what fails their check is nothing else.
+OWN_SHAPE = ("date", "ip", "ssn")
 #: kind, the pattern that the whole finding has, its check and pseudonym. The first kind that fits decides.
 RULES = (
     ("email", f"^{EMAIL}$", _emails),
     ("ip", r"^\d{1,3}(?:\.\d{1,3}){3}$", _octets),
     ("iban", r"^[A-Z]{2}\d{2}", _ibans),
     ("date", r"^(?:\d{4}([-/.])\d{2}\1\d{2}|\d{2}([-/.])\d{2}\2\d{4})$", _dates),
-    ("ssn", r"^\d{3}-\d{2}-\d{4}$", lambda v: _numbers(v, "ssn", 9, 9)),
+    ("ssn", r"^\d{3}-\d{2}-\d{4}$", _ssns),
     ("card", r"^\d(?:[ -]?\d){12,18}$", _cards),
-    ("phone", r"^[+(]|^\d+[ .-]", lambda v: _numbers(v, "phone", 7, 15)),
+    ("phone", r"^[+(]|^\d+[ .-]", _phones),
 )
 
 
@@ -211,7 +277,7 @@ def pseudonym(found: Column) -> Column:
         ok, new = rule(found)
         hit = F.struct(F.lit(kind).alias("kind"), F.coalesce(new, found).alias("value"))
         fits = F.rlike(found, F.lit(pattern))
-        out = F.when(fits & ok, hit).otherwise(out) if kind not in ("date", "ip") else F.when(fits, F.when(ok, hit).otherwise(none)).otherwise(out)
+        out = F.when(fits & ok, hit).otherwise(out) if kind not in OWN_SHAPE else F.when(fits, F.when(ok, hit).otherwise(none)).otherwise(out)
     return out
 
 

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -147,6 +148,58 @@ def test_phones_with_groups_of_any_length(spark):
     assert all(got[len(phones) + i]["text"] == rows[len(phones) + i][1] for i in range(len(other)))
 
 
+def test_numbers_that_no_plan_has_stay(spark):
+    stay = [
+        "war of 1914-1918 and 1999-2003", "pi is 1234.5678", "version 1.22.333.4444", "id 000-00-0000", "id 666-12-3456", "id 900-12-3456", "id 123-00-4567", "+999 12345678", "(123) 456-7890", "years 2010 2011 2012",
+        "12345.67", "0.123456789",
+    ]
+    change = ["1-800-555-1234", "Jane.Doe@mail.example.com", "id 899-99-9999", "+44 20 7946 0958"]
+    df = spark.createDataFrame(list(enumerate(stay + change)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.report(df).collect()}
+    assert [got[i] for i in range(len(stay))] == stay
+    new = [got[len(stay) + i] for i in range(len(change))]
+    assert re.fullmatch(r"1-[2-9]\d\d-[2-9]\d\d-\d{4}", new[0]) and re.fullmatch(r"[A-Z][a-z]{3}\.[A-Z][a-z]{2}@mail\.example\.com", new[1])
+    area, group, serial = map(int, new[2][3:].split("-"))
+    assert 0 < area < 900 and area != 666 and group and serial and new[3].startswith("+44 ") and all(a != b for a, b in zip(new, change, strict=True))
+
+
+def feistel_of(value, high, low, tweak, key=pii.KEY, rounds=pii.ROUNDS):
+    """The network by its definition."""
+    prf = lambda *p: int(hashlib.sha256("|".join(map(str, p)).encode()).hexdigest()[:13], 16)
+    a, b = divmod(value, low)
+    for r in range(1, rounds + 1):
+        if r % 2:
+            a = (a + prf(key, tweak, r, high, low, b) % high) % high
+        else:
+            b = (b + prf(key, tweak, r, high, low, a) % low) % low
+    return a * low + b
+
+
+def test_pseudonyms_against_the_network(spark):
+    """Octets, social-security numbers, North American numbers and digit strings, recomputed; equal values are linked over rows."""
+    df = spark.createDataFrame([(1, "ip 10.20.30.40 ssn 123-45-6789 tel +1 (743) 555-3824"), (2, "tel 743.555.3824 or 743-555-3824")], "doc_id long, text string")
+    one, two = (r["text"] for r in pii.report(df).orderBy("doc_id").collect())
+    n = feistel_of((10 << 24) + (20 << 16) + (30 << 8) + 40, 1 << 16, 1 << 16, "ip")
+    x = feistel_of((122 * 99 + 44) * 9999 + 6788, 898 * 99, 9999, "ssn")
+    area = x // (99 * 9999)
+    y = feistel_of(543 * 8_000_000 + 5553824 - 2_000_000, 800, 8_000_000, "phone")
+    a, b = str(y // 8_000_000 + 200), str(y % 8_000_000 + 2_000_000)
+    assert one == f"ip {'.'.join(str(n >> s & 255) for s in (24, 16, 8, 0))} ssn {area + (2 if area >= 665 else 1):03}-{x // 9999 % 99 + 1:02}-{x % 9999 + 1:04} tel +1 ({a}) {b[:3]}-{b[3:]}"
+    assert two == f"tel {a}.{b[:3]}.{b[3:]} or {a}-{b[:3]}-{b[3:]}"
+    digits = spark.createDataFrame([("123456",)], "d string").select(pii.permute_symbols(F.col("d"), pii.DIGITS, "t")).first()[0]
+    assert digits == f"{feistel_of(123456, 1000, 1000, 't:6:'):06}"
+
+
+def test_pseudonyms_of_edge_rows(docs, raw, empty, spark):
+    """Nulls, repeats, long texts, clashing columns; and a long run of letters in time that grows with its length."""
+    got = Counter((r["doc_id"], r["text"], r["n_pii"]) for r in pii.report(docs).collect())
+    assert got == Counter((r[0], r[1], 0) for r in raw)
+    assert pii.pseudonymised(docs).columns == [*[c for c in docs.columns if c != "text"], "text", "_n_pii", "_kinds"]
+    began = time.time()
+    long_ = spark.createDataFrame([(1, "n" * 1_000_000 + " 1 " + "a.b" * 50_000 + " +1 (743) 555-3824")], "doc_id long, text string")
+    assert pii.report(long_).first()["n_pii"] == 1 and time.time() - began < 20
+
+
 def test_feistel_is_a_permutation(spark):
     df = spark.range(189 * 3).select(pii.feistel(F.col("id"), F.lit(189).cast("long"), F.lit(3).cast("long"), F.lit("t")).alias("x"))
     assert sorted(r["x"] for r in df.collect()) == list(range(189 * 3))
