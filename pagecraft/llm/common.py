@@ -63,6 +63,23 @@ def checked_broadcast(df: DataFrame, row_bytes: int, n: int | None = None) -> Da
     return F.broadcast(df) if n * row_bytes <= BROADCAST_BYTES else df
 
 
+#: At most this many keys can each have more than one in this many of all rows.
+HOT_KEYS = 50_000
+
+
+def joined_by_size(big: DataFrame, small: DataFrame, on: list[str], uses: str, row_bytes: int, least: int = 1000) -> DataFrame:
+    """big (a written table) joined with small, which has one row for each key with the number of its rows in big. Keys with more than one in
+    HOT_KEYS of big's rows, at most HOT_KEYS by that, are broadcast, so no task receives all rows of such a key; the rest shuffle."""
+    hot = F.col(uses) > max(least, big.count() // HOT_KEYS)
+    heavy = small.where(hot)
+    n = heavy.count()
+    if not n:
+        return big.join(small, on)
+    light = big.join(checked_broadcast(heavy.select(*on), row_bytes, n), on, "left_anti")
+    out = big.join(checked_broadcast(heavy, row_bytes, n), on)
+    return out.unionByName(light.join(small.where(~hot), on).select(*out.columns))
+
+
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
 

@@ -6,10 +6,12 @@ row has one integer. Two rows have equal (level, name) exactly if their normalis
 
 Blocks travel by content once, pre-aggregated per task, so a group of copies costs one row per task. Elsewhere a
 128-bit key stands for a block; that no two distinct blocks share a key is verified on the contents, and
-another salt is taken if any do, so the result never rests on a hash.
+another salt is taken if any do, so the result never rests on a hash. Blocks, pairs and groups are counted, and the rows of a
+frequent one meet its name by broadcast, in whatever task they are.
 
 Defined results: null text counts as empty; empty texts are equal; repeated rows are members of their group, one of
-which stays; a null doc_id loses ties; an empty table gives no rows; extra columns are ignored.
+which stays; a null doc_id loses ties; long texts are compared whole, a level of names for each doubling of their length; an empty
+table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,10 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagecraft.llm.common import checked_broadcast, discard, materialize
+from pagecraft.llm.common import checked_broadcast, discard, joined_by_size, materialize
 
 BLOCK = 1024
-NAME_BUCKETS = 1 << 14
+#: Keys of a bucket, about, and the least number of buckets.
+BUCKET_KEYS, NAME_BUCKETS = 4096, 1 << 14
 
 
 def normalised(text: Column) -> Column:
@@ -37,10 +40,11 @@ def block_key(block: Column, salt: int) -> Column:
 
 
 def named(keys: DataFrame, cols: list[str]) -> DataFrame:
-    """Distinct keys with a collision-free positive integer: the rank in the sorted bucket, and the bucket."""
-    bucket = F.pmod(F.xxhash64(*cols), F.lit(NAME_BUCKETS))
+    """Distinct keys (a written table: cols, uses) with a collision-free positive integer: the rank in the sorted bucket, and the bucket."""
+    buckets = max(NAME_BUCKETS, -(-keys.count() // BUCKET_KEYS))
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy(*cols)).cast("long")
-    return keys.withColumn("bucket", bucket).select(*cols, (rank * NAME_BUCKETS + F.col("bucket")).alias("name"))
+    placed = keys.withColumn("bucket", F.pmod(F.xxhash64(*cols), F.lit(buckets)))
+    return placed.select(*cols, "uses", (rank * buckets + F.col("bucket")).alias("name"))
 
 
 def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -49,8 +53,8 @@ def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     base = docs.select("doc_id", "text").withColumn("norm", normalised(F.col("text")))
     while True:
         cut = base.withColumn("blocks", blocks_of(F.col("norm"), block))
-        contents = cut.select(F.explode("blocks").alias("b")).select(block_key(F.col("b"), salt).alias("key"), "b").distinct()
-        keys = materialize(contents.groupBy("key").agg(F.count("*").alias("contents")), "block-keys")
+        contents = cut.select(F.explode("blocks").alias("b")).select(block_key(F.col("b"), salt).alias("key"), "b").groupBy("key", "b").agg(F.count("*").alias("n"))
+        keys = materialize(contents.groupBy("key").agg(F.count("*").alias("contents"), F.sum("n").alias("uses")), "block-keys")
         if keys.where("contents > 1").isEmpty():
             break
         discard(keys)
@@ -64,8 +68,10 @@ def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         ).withColumn("rid", F.monotonically_increasing_id()),
         "block-rows",
     )
-    joined = rows.select("rid", F.posexplode("keys").alias("pos", "key")).join(named(keys.select("key"), ["key"]), "key")
-    active, level, done, olds = materialize(_gathered(joined), "names-0"), 0, None, []
+    places = rows.select("rid", F.posexplode("keys").alias("pos", "key"))
+    joined = joined_by_size(places, named(keys.select("key", "uses"), ["key"]), ["key"], "uses", 96)
+    active, level, done = materialize(_gathered(joined), "names-0"), 0, None
+    discard(keys)
     while True:
         ended = active.where(F.size("names") == 1).select("rid", F.lit(level).alias("level"), F.col("names")[0].alias("name"))
         done = ended if done is None else done.unionByName(ended)
@@ -79,7 +85,9 @@ def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
             "rid",
             F.posexplode(F.transform(steps, lambda i: F.struct(F.get(name, i * 2).alias("a"), F.coalesce(F.get(name, i * 2 + 1), F.lit(0).cast("long")).alias("b")))).alias("pos", "p"),
         ).select("rid", "pos", "p.a", "p.b")
-        active = materialize(_gathered(pairs.join(named(pairs.select("a", "b").distinct(), ["a", "b"]), ["a", "b"])), f"names-{level}")
+        distinct = materialize(pairs.groupBy("a", "b").agg(F.count("*").alias("uses")), f"pairs-{level}")
+        active = materialize(_gathered(joined_by_size(pairs, named(distinct, ["a", "b"]), ["a", "b"], "uses", 96)), f"names-{level}")
+        discard(distinct)
     return rows.drop("keys").join(done, "rid")
 
 
@@ -94,7 +102,8 @@ def decisions(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     ids = materialize(identities(docs, block), "identities")
     best = F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("rid").alias("rid"))
     groups = ids.groupBy("level", "name").agg(F.min(best).alias("best"), F.count("*").alias("group_size"))
-    return ids.join(groups, ["level", "name"]).select(
+    groups = materialize(groups, "groups")
+    return joined_by_size(ids, groups, ["level", "name"], "group_size", 128).select(
         "doc_id", F.col("best.id").alias("keep_id"), "group_size", (F.col("rid") == F.col("best.rid")).alias("kept"), "text_sha256"
     )
 
