@@ -20,6 +20,11 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def base64_of(data: Column) -> Column:
+    """Base64 in one line."""
+    return F.regexp_replace(F.base64(data), "\\s", "")
+
+
 def is_hero(kind: Column) -> Column:
     return kind.startswith("hero")
 

@@ -16,6 +16,12 @@ def usage(elements: DataFrame) -> DataFrame:
     return elements.groupBy("comp_id", "font").agg(F.bool_or("heading").alias("heading"), F.bool_or("body").alias("body"), F.count("size").alias("n_sizes"), F.min("ord").alias("ord"))
 
 
+def usage_lists(elements: DataFrame) -> DataFrame:
+    """comp_id, font, sizes and weights of each font's elements in their order. A font's elements are bounded by its page."""
+    listed = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("ord", c))), lambda x: x[c]).alias(f"{c}s")
+    return elements.groupBy("comp_id", "font").agg(listed("size"), listed("weight"))
+
+
 def main_fonts(used: DataFrame) -> DataFrame:
     """comp_id, heading_raw, body_raw: the font with the most sizes of each kind, the first met on ties; null if there is none."""
     best = lambda flag: F.min(F.when(F.col(flag), F.struct(-F.col("n_sizes"), F.col("ord"), F.col("font").alias("font"))))["font"]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagecraft.functions import vocab
-from pagecraft.functions.scalars import weighted_cosine
+from pagecraft.functions.scalars import half_up, weighted_cosine
 from pagecraft.operators import quality, vectors
 
 
@@ -54,9 +54,10 @@ def pattern(s: Column) -> Column:
 
 
 def templates(comps: DataFrame, members: DataFrame) -> DataFrame:
-    """Compositions as templates, best first by rank; those in no listed archetype have none."""
+    """Compositions as templates with place, the best first; those in no listed archetype have none."""
     joined = comps.join(members, "comp_id", "left")
-    return joined.select("comp_id", name_of(F.col("tags"), F.col("vertical"), F.lit("layout")).alias("name"), "url", "source_type", "vertical", "sub_vertical", "tags", "quality_score", "effective_score", "archetype_id", pattern(F.col("s")).alias("sections"))
+    place = F.row_number().over(Window.partitionBy("vertical").orderBy(F.col("effective_score").desc(), "comp_id"))
+    return joined.withColumn("place", place).select("place", "comp_id", name_of(F.col("tags"), F.col("vertical"), F.lit("layout")).alias("name"), "url", "source_type", "vertical", "sub_vertical", "tags", "quality_score", "effective_score", "archetype_id", pattern(F.col("s")).alias("sections"))
 
 
 def from_templates(rows: DataFrame) -> DataFrame:
@@ -91,6 +92,9 @@ def assembled(comps: DataFrame, as_of: Column, least: float = 50.0) -> dict[str,
     return {"archetypes": archs, "templates": templates(kept, members), "stats": stats(comps, qualified, kept, archs)}
 
 
+VERSION = "3.0.0"
+
+
 def violations(archs: DataFrame, per_vertical: int = 15) -> DataFrame:
     """check, archetype_id of what breaks an invariant of the library."""
     known = F.array(*[F.lit(t) for t in vocab.SECTION_TYPES])
@@ -104,6 +108,27 @@ def violations(archs: DataFrame, per_vertical: int = 15) -> DataFrame:
     return archs.select(F.explode(found).alias("check"), "archetype_id")
 
 
+def header_violations(header: DataFrame, archs: DataFrame, templates: DataFrame) -> DataFrame:
+    """check of what breaks the library as a whole. header: version, generated_at."""
+    counts = archs.agg(F.count("*").alias("a")).crossJoin(templates.agg(F.count("*").alias("t")))  # one row each
+    checks = {
+        "version": F.coalesce(F.col("version"), F.lit("")) != VERSION,
+        "generated_at": F.coalesce(F.col("generated_at").cast("string"), F.lit("")) == "",
+        "no_archetypes": (F.col("a") == 0) & (F.col("t") > 0),
+    }
+    found = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in checks.items()]))
+    return header.crossJoin(counts).select(F.explode(found).alias("check"))
+
+
+def inspection(archs: DataFrame, vertical: str | None = None) -> DataFrame:
+    """A report of the archetypes, of one vertical or of all: names, sizes, sections, tags and palette as text, in order."""
+    rows = archs if vertical is None else archs.where(F.col("vertical") == vertical)
+    two = lambda c: F.format_string("%.2f", F.round(F.coalesce(c, F.lit(0.0)), 9))
+    palette = F.concat(F.lit("gold="), two("avg_gold"), F.lit(" maroon="), two("avg_maroon"), F.lit(" dark="), half_up(F.col("dark_ratio") * 100).cast("string"), F.lit("%"))
+    kinds = F.array_join(F.transform("s", lambda x: x["type"]), " → ")
+    return rows.select("vertical", "rank", "archetype_id", "name", "cluster_size", "quality_score", kinds.alias("sections"), F.array_join("tags", ", ").alias("tags"), palette.alias("palette"), "representative_source")
+
+
 # The look-up.
 
 
@@ -128,7 +153,8 @@ def candidates(archs: DataFrame, contexts: DataFrame) -> DataFrame:
     """Each context with its vertical's archetypes and the general ones; both if they are the same."""
     a = archs.withColumnRenamed("vertical", "arch_vertical")
     same = contexts.join(a, contexts["vertical"] == a["arch_vertical"])
-    return same.unionByName(contexts.join(a.where(F.col("arch_vertical") == "general").withColumn("_all", F.lit(1)), F.lit(1) == F.col("_all")).drop("_all"))
+    # The general archetypes are few by the limit of the library, and a context is a request: each meets all of them.
+    return same.unionByName(contexts.crossJoin(a.where(F.col("arch_vertical") == "general")))
 
 
 def relevance() -> Column:

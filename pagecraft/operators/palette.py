@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagecraft.functions import vocab
-from pagecraft.functions.scalars import TONES, channels, gap, hsl_of, parsed, shifted
+from pagecraft.functions.scalars import TONES, channels, gap, hsl_of, parsed, shifted, to_hex
 
 
 def with_channels(rows: DataFrame) -> DataFrame:
@@ -148,3 +148,25 @@ def kmeans(pixels: DataFrame, k: int = 8, steps: int = 20) -> DataFrame:
         return out.assign(img_id=pdf["img_id"].iloc[0], cluster=range(k), n=n[order], proportion=n[order] / len(x))[["img_id", "cluster", "r", "g", "b", "n", "proportion"]]
 
     return pixels.groupBy("img_id").applyInPandas(run, "img_id long, cluster int, r int, g int, b int, n long, proportion double")
+
+
+def perceived(clusters: DataFrame) -> DataFrame:
+    """img_id, colours (structs of hex, proportion, r, g, b, most frequent first) and is_dark_perceived, the darkness of the first, of
+    kmeans() rows."""
+    r, g, b = F.col("r"), F.col("g"), F.col("b")
+    rows = clusters.groupBy("img_id").agg(F.array_sort(F.collect_list(F.struct("cluster", to_hex(r, g, b).alias("hex"), "proportion", "r", "g", "b"))).alias("_c"))
+    first = F.get("_c", F.lit(0))
+    luma = first["r"] * 0.299 + first["g"] * 0.587 + first["b"] * 0.114
+    return rows.select("img_id", F.transform("_c", lambda c: c.dropFields("cluster")).alias("colours"), F.coalesce(luma < 128, F.lit(False)).alias("is_dark_perceived"))
+
+
+#: The share above which a perceived colour counts, and what is left of a gold that is not perceived.
+PERCEIVED_LEAST, UNSEEN_GOLD = 0.02, 0.3
+
+
+def checked_gold(rows: DataFrame) -> DataFrame:
+    """rows (has_gold, gold_proportion, perceived: structs of r, g, b, proportion, or null) with gold taken back where the page claims it and
+    the perceived colours do not show it."""
+    seen = F.exists("perceived", lambda c: TONES["gold"](c["r"], c["g"], c["b"]) & (c["proportion"] > PERCEIVED_LEAST))
+    unseen = F.col("perceived").isNotNull() & F.col("has_gold") & ~F.coalesce(seen, F.lit(False))
+    return rows.withColumns({"gold_proportion": F.when(unseen, F.col("gold_proportion") * UNSEEN_GOLD).otherwise(F.col("gold_proportion")), "has_gold": F.col("has_gold") & ~unseen})

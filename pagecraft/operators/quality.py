@@ -90,9 +90,14 @@ def gated(df: DataFrame, as_of: Column, least: float = 50.0) -> DataFrame:
     return with_effective(df, as_of).where(F.col("effective_score") >= least)
 
 
+def vision_wanted(rows: DataFrame, enabled: bool = True, above: int = 40) -> DataFrame:
+    """Rows (quality_score, screenshot) that go to the vision check: it is on, the score is above, and there is a picture."""
+    return rows.where(F.lit(enabled) & (F.col("quality_score") > above) & (F.coalesce(F.octet_length("screenshot"), F.lit(0)) > 0))
+
+
 def vision(replies: DataFrame) -> DataFrame:
-    """comp_id, agrees, vertical, disagreements, boost, flagged of replies (comp_id, reply): fences are stripped, and what
-    does not parse agrees without a boost."""
+    """comp_id, agrees, vertical, disagreements, boost, flagged, seen, vibe, details of replies (comp_id, reply): fences are stripped, and
+    what does not parse agrees without a boost. details: structs of position, dom_said, vision_says."""
     bare = F.trim(F.regexp_replace("reply", r"```json\s*|```\s*", ""))
     v = F.try_parse_json(bare)
     get = lambda path, kind: F.try_variant_get("v", path, kind)
@@ -100,6 +105,12 @@ def vision(replies: DataFrame) -> DataFrame:
     agrees = F.coalesce(get("$.agrees", "boolean"), F.lit(False))
     broken = F.col("v").isNull()
     out = replies.withColumn("v", v).withColumns({"_n": F.greatest(count, F.lit(0)), "_agrees": agrees})
+    texts = lambda path: F.coalesce(F.array_compact(get(path, "array<string>")), F.array().cast("array<string>"))
+    part = lambda x, path, kind, default: F.coalesce(F.try_variant_get(x, path, kind), F.lit(default))
+    each = F.transform(
+        F.coalesce(get("$.disagreements", "array<variant>"), F.array().cast("array<variant>")),
+        lambda x: F.struct(part(x, "$.position", "long", 0).alias("position"), part(x, "$.dom_said", "string", "").alias("dom_said"), part(x, "$.you_see", "string", "").alias("vision_says")),
+    )
     return out.select(
         "comp_id",
         (broken | F.col("_agrees")).alias("agrees"),
@@ -107,11 +118,42 @@ def vision(replies: DataFrame) -> DataFrame:
         F.when(broken, 0).otherwise(F.col("_n")).alias("disagreements"),
         F.when(broken, 0).when(F.col("_agrees"), 15).when(F.col("_n") <= 2, 5).otherwise(-15).alias("boost"),
         (~broken & ~F.col("_agrees") & (F.col("_n") > 2)).alias("flagged"),
+        texts("$.sections_you_see").alias("seen"),
+        texts("$.vibe").alias("vibe"),
+        each.alias("details"),
     )
 
 
+def with_vision(rows: DataFrame, replies: DataFrame) -> DataFrame:
+    """rows (comp_id, vertical, tags, quality_score) after the vision check of those that have a reply: the score is boosted, a vertical
+    other than general replaces the own one, and what the picture suggests joins the tags."""
+    v = vision(replies).select("comp_id", F.col("vertical").alias("_vertical"), "boost", "flagged", "vibe")
+    out = rows.join(v, "comp_id", "left")
+    return out.withColumns(
+        {
+            "quality_score": boosted(F.col("quality_score"), F.col("boost")),
+            "vertical": F.when(F.col("_vertical") != "general", F.col("_vertical")).otherwise(F.col("vertical")),
+            "tags": F.array_distinct(F.concat("tags", F.coalesce("vibe", F.array().cast("array<string>")))),
+            "flagged": F.coalesce("flagged", F.lit(False)),
+        }
+    ).drop("_vertical", "boost", "vibe")
+
+
+def review_queue(rows: DataFrame, replies: DataFrame) -> DataFrame:
+    """comp_id, url, dom_sections, seen, vibe, vertical, disagreements, lines of the flagged rows (comp_id, url, s)."""
+    v = vision(replies).where("flagged")
+    line = F.transform("details", lambda d: F.concat(F.lit("pos "), d["position"], F.lit(': DOM="'), d["dom_said"], F.lit('", picture="'), d["vision_says"], F.lit('"')))
+    kinds = F.array_join(F.transform("s", lambda x: x["type"]), ", ")
+    return rows.join(v, "comp_id").select("comp_id", "url", kinds.alias("dom_sections"), F.array_join("seen", ", ").alias("seen"), F.array_join("vibe", ", ").alias("vibe"), v["vertical"], "disagreements", F.array_join(line, "\n").alias("lines"))
+
+
 def skipped(df: DataFrame) -> DataFrame:
     """comp_id, reason of rows (comp_id, iframe_builder, locked, n) that no further step takes."""
     reason = F.when(F.col("iframe_builder").isNotNull(), F.concat(F.lit("iframe_page_builder:"), "iframe_builder"))
     reason = reason.when(F.col("locked"), "password_locked").when(F.col("n") < 2, F.concat(F.lit("too_few_sections:"), F.col("n")))
     return df.withColumn("reason", reason).where(F.col("reason").isNotNull()).select("comp_id", "reason")
+
+
+def skipped_by_builder(df: DataFrame) -> DataFrame:
+    """builder, n of rows (iframe_builder) that were skipped; those without a builder are other."""
+    return df.groupBy(F.coalesce("iframe_builder", F.lit("other")).alias("builder")).agg(F.count("*").alias("n"))

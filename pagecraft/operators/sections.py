@@ -151,13 +151,15 @@ def type_from_id(section_id: Column, height: Column) -> Column:
 
 def reconciled(desktop: DataFrame, mobile: DataFrame) -> DataFrame:
     """The two viewports' sections (comp_id, pos, FIELDS) as one list: each desktop section, in order, takes the unclaimed mobile
-    section of its type that is nearest in relative position, the first on ties; the mobile ones left over follow.
+    section of its type that is nearest in relative position, the first on ties; the mobile ones left over follow. Both may have
+    background, which the variant hints ask for.
 
     Claims cross types nowhere, so every (composition, type) is folded by itself over its two short arrays."""
     parts = []
     for side, df in (("d", desktop), ("m", mobile)):
         total = F.count("*").over(Window.partitionBy("comp_id")).alias("total")
-        parts.append(df.select("comp_id", "type", F.lit(side).alias("side"), F.struct("pos", *[f for f in FIELDS if f not in ("type", "heading")], total).alias("x")))
+        df = df if "background" in df.columns else df.withColumn("background", F.lit(False))
+        parts.append(df.select("comp_id", "type", F.lit(side).alias("side"), F.struct("pos", *[f for f in FIELDS if f not in ("type", "heading")], "background", total).alias("x")))
     per = parts[0].unionByName(parts[1]).groupBy("comp_id", "type").agg(
         *[F.array_sort(F.collect_list(F.when(F.col("side") == s, F.col("x")))).alias(s) for s in ("d", "m")]
     )
@@ -180,6 +182,8 @@ def reconciled(desktop: DataFrame, mobile: DataFrame) -> DataFrame:
     # A missing or zero column count, and a carousel only the desktop has, do not differ.
     wider = (F.col("m.cols") != 0) & (F.col("m.cols") != F.col("d.cols"))
     differs = both & (wider | (F.col("m.carousel") & ~F.col("d.carousel")) | (F.abs(F.col("d.ratio") - F.col("m.ratio")) > 0.3))
+    layout_of = lambda side: F.struct(F.col(f"{side}.cols").alias("grid_columns"), F.col(f"{side}.carousel").alias("has_carousel"), F.col(f"{side}.ratio").alias("height_ratio"))
+    hint = lambda side: F.when(F.col(side).isNotNull(), variant_hint(F.col("type"), F.col(f"{side}.cols"), F.col(f"{side}.carousel"), F.col(f"{side}.background")))
     sure = F.greatest(F.coalesce("d.confidence", F.lit(0.0)), F.coalesce("m.confidence", F.lit(0.0)))
     return rows.withColumn("rank", F.row_number().over(top)).select(
         "comp_id",
@@ -197,6 +201,9 @@ def reconciled(desktop: DataFrame, mobile: DataFrame) -> DataFrame:
         (F.col("m").isNotNull() & (F.col("rank") == 1) & (F.col("prominence") > 0.4)).alias("primary_hero"),
         F.coalesce("prominence", F.lit(0.0)).alias("prominence"),
         F.coalesce(differs, F.lit(False)).alias("differs"),
+        F.when(differs, F.struct(layout_of("d").alias("desktop_layout"), layout_of("m").alias("mobile_layout"))).alias("responsive_variant"),
+        hint("d").alias("desktop_variant_hint"),
+        hint("m").alias("mobile_variant_hint"),
     )
 
 

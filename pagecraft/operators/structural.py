@@ -41,6 +41,16 @@ def visible(scraped: DataFrame) -> DataFrame:
     return scraped.withColumn("type", type_from_id(F.col("section_id"), F.col("height"))).where(~F.col("type").isin(*HIDDEN) & (F.col("height") > 0))
 
 
+def matrix_order(matrix: DataFrame) -> DataFrame:
+    """pdp_matrix() rows with place: within a scope and key, the most frequent first, ties by element; keys and scopes are alphabetical."""
+    return matrix.withColumn("place", F.row_number().over(Window.partitionBy("scope", "key").orderBy(F.col("pct").desc(), F.col("n").desc(), "element")))
+
+
+def keys_in_order(df: DataFrame, column: str) -> DataFrame:
+    """The distinct values of a column with their alphabetical place. One row for each value goes to one task."""
+    return df.select(column).distinct().withColumn("place", F.row_number().over(Window.orderBy(column)))
+
+
 def top_counts(df: DataFrame, column: str, k: int = 20) -> DataFrame:
     """The k most frequent values with their counts, ties by value."""
     return df.groupBy(column).count().orderBy(F.col("count").desc(), column).limit(k)
@@ -48,7 +58,7 @@ def top_counts(df: DataFrame, column: str, k: int = 20) -> DataFrame:
 
 def sub_verticals(comps: DataFrame, lookup: DataFrame) -> DataFrame:
     """comps with sub_vertical filled: its own, else the last of lookup (url, sub_vertical, ord), else <vertical>_general."""
-    last = lookup.groupBy("url").agg(F.max_by("sub_vertical", "ord").alias("_found"))
+    last = lookup.groupBy("url").agg(F.max(F.struct("ord", "sub_vertical"))["sub_vertical"].alias("_found"))
     own = F.nullif(F.col("sub_vertical"), F.lit(""))
     return comps.join(last, "url", "left").withColumn("sub_vertical", F.coalesce(own, F.nullif(F.col("_found"), F.lit("")), F.concat("vertical", F.lit("_general")))).drop("_found")
 
@@ -92,30 +102,49 @@ def must_have(matrix: DataFrame) -> DataFrame:
     return rows.groupBy(F.col("key").alias("vertical")).agg(listed(F.col("pct") >= 80).alias("must_have"), listed(F.col("pct").between(50, 79)).alias("expected"))
 
 
+def coerced(pdp: DataFrame) -> DataFrame:
+    """Elements with present as true only if it is the boolean true, details as an object (empty without one), and product_url with the
+    page's own as its default. present and details are JSON texts."""
+    v = F.try_parse_json("present")
+    strict = F.coalesce((F.schema_of_variant(v) == "BOOLEAN") & F.try_variant_get(v, "$", "boolean"), F.lit(False))
+    d = F.try_parse_json("details")
+    object_ = F.when(F.coalesce(F.schema_of_variant(d).startswith("OBJECT"), F.lit(False)), F.col("details")).otherwise("{}")
+    return pdp.withColumns({"present": strict, "details": object_, "product_url": F.coalesce(F.nullif(F.col("product_url"), F.lit("")), F.col("url"))})
+
+
 def detail_values(pdp: DataFrame) -> DataFrame:
-    """element, field, kind (of the field's first value) and its value as text, of present first elements; ord tells the first."""
-    v = F.coalesce(F.try_parse_json("details"), F.parse_json(F.lit("{}")))
-    rows = first_elements(pdp).where("present").withColumn("v", v).select("element", F.struct("url", "pos").alias("ord"), "v")
-    each = rows.select("element", "ord", F.from_json(F.to_json("v"), "map<string,string>").alias("m"), "v")
-    out = each.select("element", "ord", "v", F.explode("m").alias("field", "value"))
-    kind = F.schema_of_variant(F.try_variant_get("v", F.concat(F.lit("$."), "field"), "variant"))
-    # Repeated keys cannot occur in a parsed object, so a field has one kind in a row.
-    return out.withColumn("kind", kind).drop("v")
-
-
-def detail_summary(values: DataFrame) -> DataFrame:
-    """element, field, kind, n, mode, true_pct, average, low, high: as the kind of the field's first value asks."""
-    kind = F.min_by("kind", "ord")
-    number = F.try_to_number("value", F.lit("999999999999")).cast("double")
-    per = values.groupBy("element", "field", "value").agg(F.count("*").alias("c"), kind.alias("kind"), F.min("ord").alias("ord"))
-    agg = per.withColumn("x", number).groupBy("element", "field").agg(
-        F.min_by("kind", "ord").alias("kind"), F.sum("c").alias("n"), F.min(F.struct(-F.col("c"), "ord", "value"))["value"].alias("mode"),
-        F.sum(F.when(F.col("value") == "true", F.col("c")).otherwise(0)).alias("trues"), F.sum(F.col("x") * F.col("c")).alias("total"), F.min("x").alias("low"), F.max("x").alias("high"),
+    """element, field, ord (of the page), at (of the value in its list), kind, value as text, x (its number), of present first elements.
+    A list gives one row for each of its values, and one without a value if it is empty."""
+    rows = first_elements(pdp).where("present").select("element", F.struct("url", "pos").alias("ord"), F.coalesce(F.try_parse_json("details"), F.parse_json(F.lit("{}"))).alias("v"))
+    fields = rows.select("element", "ord", F.explode(F.map_keys(F.try_variant_get("v", "$", "map<string,variant>"))).alias("field"), "v")
+    each = fields.withColumn("v", F.try_variant_get("v", F.concat(F.lit("$['"), "field", F.lit("']")), "variant"))
+    schema = F.schema_of_variant("v")
+    kind = F.when(schema == "STRING", "string").when(schema == "BOOLEAN", "boolean").when(schema.startswith("ARRAY"), "array").when(F.rlike(schema, F.lit("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")), "number")
+    listed = F.when(kind == "array", F.try_variant_get("v", "$", "array<variant>")).otherwise(F.array("v"))
+    flat = each.withColumn("kind", kind).select("element", "field", "ord", "kind", F.posexplode_outer(listed).alias("at", "w"))
+    as_ = lambda t: F.try_variant_get("w", "$", t)
+    return flat.select("element", "field", "ord", F.coalesce("at", F.lit(0)).alias("at"), F.coalesce("kind", F.lit("other")).alias("kind"), as_("string").alias("value"), F.when(F.col("kind") == "number", as_("double")).alias("x"))
+
+
+def detail_summary(values: DataFrame, k: int = 5) -> DataFrame:
+    """element, field, kind, n (pages), most_common, distribution, true_pct, average, low, high: as the kind of the field's first value asks.
+    most_common has the mode of texts or the k most frequent values of lists, distribution the k most frequent texts with counts, ties by
+    what came first."""
+    per = values.groupBy("element", "field", "value").agg(
+        F.count("*").alias("c"), F.min(F.struct("ord", "at")).alias("first"), F.min_by("kind", F.struct("ord", "at")).alias("kind"), F.min("x").alias("x"), F.count_if(F.col("kind") == "boolean").alias("booleans")
     )
-    is_ = lambda name: F.col("kind") == name
+    pages = values.groupBy("element", "field").agg(F.countDistinct("ord").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("element", "field").orderBy(F.col("value").isNull(), F.col("c").desc(), "first"))
+    top = F.transform(F.array_sort(F.collect_list(F.when((F.col("rank") <= k) & F.col("value").isNotNull(), F.struct("rank", "value", "c")))), lambda t: F.concat(t["value"], F.lit(":"), t["c"]))
+    names = F.transform(F.array_sort(F.collect_list(F.when((F.col("rank") <= k) & F.col("value").isNotNull(), F.struct("rank", "value")))), lambda t: t["value"])
+    agg = per.withColumn("rank", rank).groupBy("element", "field").agg(
+        F.min_by("kind", "first").alias("kind"), top.alias("top"), names.alias("names"), F.sum(F.when((F.col("value") == "true") & (F.col("booleans") > 0), F.col("booleans")).otherwise(0)).alias("trues"),
+        F.sum(F.col("x") * F.col("c")).alias("total"), F.min("x").alias("low"), F.max("x").alias("high"),
+    ).join(pages, ["element", "field"])
+    is_ = lambda name, value: F.when(F.col("kind") == name, value)
     return agg.select(
-        "element", "field", "kind", "n", F.when(is_("STRING"), F.col("mode")).alias("mode"), F.when(is_("BOOLEAN"), percent(F.col("trues"), F.col("n"))).alias("true_pct"),
-        F.when(is_("BIGINT"), half_up(F.col("total") / F.col("n") * 10) / 10.0).alias("average"), F.when(is_("BIGINT"), F.col("low")).alias("low"), F.when(is_("BIGINT"), F.col("high")).alias("high"),
+        "element", "field", "kind", "n", is_("string", F.get("names", F.lit(0))).when(F.col("kind") == "array", F.array_join("names", ",")).alias("most_common"), is_("string", F.array_join("top", ",")).alias("distribution"),
+        is_("boolean", percent(F.col("trues"), F.col("n"))).alias("true_pct"), is_("number", half_up(F.col("total") / F.col("n") * 10) / 10.0).alias("average"), is_("number", F.col("low")).alias("low"), is_("number", F.col("high")).alias("high"),
     )
 
 
@@ -147,22 +176,3 @@ def page_signals(pages: DataFrame) -> DataFrame:
 def difference(left: DataFrame, right: DataFrame, on: str = "url") -> DataFrame:
     """Rows of left, repeats included, whose key is not in right; keys are compared exactly."""
     return left.join(right.select(on), on, "left_anti")
-
-
-# Element filters: overlays, visibility and page builders, as columns over element rows.
-
-
-def modal(e: DataFrame) -> Column:
-    """An overlay: high above the page and large, or fixed and low in the viewport."""
-    area = F.col("w") * F.col("h") / (F.col("vp_w") * F.col("vp_h"))
-    return ((F.col("z") > 100) & (area > 0.3)) | ((F.col("position") == "fixed") & (F.col("h") < 200) & (F.col("y") > F.col("vp_h") * 0.7))
-
-
-def shown() -> Column:
-    return ~((F.col("display") == "none") | (F.col("visibility") == "hidden") | (F.col("opacity") == 0) | (F.col("h") < 10))
-
-
-def popup() -> Column:
-    area = F.col("w") * F.col("h") / (F.col("vp_w") * F.col("vp_h"))
-    named = F.rlike(F.lower("name"), F.lit("popup|modal|overlay|dialog"))
-    return (F.col("z") > 100) & F.col("position").isin("fixed", "absolute") & ((area > 0.5) | named)

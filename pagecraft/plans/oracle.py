@@ -251,17 +251,11 @@ SQL: dict[str, str] = {
     "pdp_freq_matrix": f"WITH {PDP_MATRIX.replace('pdp_in', 'pdp')} SELECT *, CASE WHEN pct >= 80 THEN 'must-have' WHEN pct >= 50 THEN 'expected' WHEN pct >= 30 THEN 'optional' ELSE 'rare' END AS tier FROM matrix",
     "pdp_must_have": f"""WITH {PDP_MATRIX.replace('pdp_in', '(SELECT * FROM pdp WHERE present)')}, m AS (SELECT key AS vertical, element, pct * 3 AS pct FROM matrix WHERE scope = 'vertical')
         SELECT vertical, coalesce(string_agg(element, ',' ORDER BY pct DESC, element) FILTER (pct >= 80), '') AS must_have, coalesce(string_agg(element, ',' ORDER BY pct DESC, element) FILTER (pct BETWEEN 50 AND 79), '') AS expected FROM m GROUP BY vertical""",
-    "pdp_details": f"""WITH {fx.PDP_SQL}, fe AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url, element ORDER BY pos) AS rn FROM pdp) WHERE rn = 1 AND present),
-        v AS (SELECT element, url, details->>'style' AS style, details->>'sticky' AS sticky, (details->>'count')::INT AS c FROM fe),
-        sc AS (SELECT element, style, count(*) AS k, min(url) AS u FROM v GROUP BY ALL), sm AS (SELECT element, first(style ORDER BY k DESC, u) AS mode FROM sc GROUP BY element)
-        SELECT element, 'style' AS field, 'STRING' AS kind, (SELECT count(*) FROM v WHERE v.element = sm.element) AS n, mode, NULL::INT AS true_pct, NULL::DOUBLE AS average, NULL::DOUBLE AS low, NULL::DOUBLE AS high FROM sm
-        UNION ALL SELECT element, 'sticky', 'BOOLEAN', count(*), NULL, {_PCT("count(*) FILTER (sticky = 'true')", 'count(*)')}, NULL, NULL, NULL FROM v GROUP BY element
-        UNION ALL SELECT element, 'count', 'BIGINT', count(*), NULL, NULL, floor(round(sum(c)::DOUBLE / count(*) * 10, 9) + 0.5) / 10.0, min(c)::DOUBLE, max(c)::DOUBLE FROM v GROUP BY element""",
     "url_health": f"""WITH {fx.HEALTH_SQL}, h AS (SELECT *, {STATUS} AS status FROM health) SELECT status, status IN ('ok', 'partial') AS works,
         CASE WHEN error IS NOT NULL OR http_status >= 400 THEN 'dead' WHEN locked THEN 'locked' WHEN n_sections >= 3 OR body_height > 1000 THEN 'live' ELSE 'dead' END AS demo, count(*) AS n FROM h GROUP BY ALL""",
     "uncrawled_anti_join": f"WITH {fx.SECTIONS_SQL}, {fx.COMPS_SQL} SELECT url, source_type FROM comps WHERE comp_id NOT IN (SELECT comp_id FROM section WHERE type <> 'unknown' AND confidence > 0.9)",
     "dead_url_removal": f"WITH {fx.HEALTH_SQL}, {fx.COMPS_SQL} SELECT url, vertical FROM comps WHERE url NOT IN (SELECT url FROM health WHERE {STATUS} NOT IN ('ok', 'partial'))",
-    "sub_vertical_lookup": f"""WITH {fx.LINES_SQL}, {fx.COMPS_SQL}, f AS (SELECT l_orderkey AS comp_id, arg_max('sv' || (l_suppkey % 7), pos) AS found FROM lines WHERE l_partkey % 2 = 0 GROUP BY l_orderkey)
+    "sub_vertical_lookup": f"""WITH {fx.LINES_SQL}, {fx.COMPS_SQL}, f AS (SELECT l_orderkey AS comp_id, arg_max('sv' || (l_suppkey % 7), pos) AS found FROM lines GROUP BY l_orderkey)
         SELECT comp_id, coalesce(CASE WHEN comp_id % 3 = 0 THEN sub_vertical END, found, vertical || '_general') AS sub_vertical FROM comps LEFT JOIN f USING (comp_id)""",
     "hit_rate": f"WITH {fx.HEALTH_SQL}, h AS (SELECT {STATUS} AS status FROM health) SELECT count(*) AS total, count(*) FILTER (status IN ('ok', 'partial')) AS works, count(*) FILTER (status = 'locked') AS locked, {_PCT("count(*) FILTER (status IN ('ok', 'partial'))", 'count(*)')} AS pct FROM h",
     "theme_counts": f"WITH {ID_SQL} SELECT theme, type, count(*) AS n, count(DISTINCT url) AS stores, theme AS short FROM typed_id WHERE type NOT IN ('popup', 'cart', 'cart_drawer', 'geofencing') AND height > 0 GROUP BY ALL",
@@ -284,8 +278,5 @@ SQL: dict[str, str] = {
     "embedding_cosine_topk": """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), m AS (SELECT label, list(x ORDER BY i) AS c FROM (SELECT label, i, avg(v[i]) AS x FROM (SELECT label, v, unnest(range(1, 65)) AS i FROM e) GROUP BY label, i) GROUP BY label),
         s AS (SELECT label, vec_id, round(list_sum(list_transform(range(1, 65), lambda i: v[i] * c[i])) / (sqrt(list_sum(list_transform(v, lambda x: x * x))) * sqrt(list_sum(list_transform(c, lambda x: x * x))) + 1e-8), 6) AS similarity FROM e JOIN m USING (label)),
         r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY similarity DESC, vec_id) AS rank FROM s) SELECT label, rank, vec_id, similarity FROM r WHERE rank <= 3""",
-    "element_filters": """WITH e AS (SELECT l_partkey % 300 AS z, l_quantity * 30 AS w, l_quantity * 15 AS h, l_partkey % 900 AS y, ['fixed', 'absolute', 'static'][CAST(l_partkey % 3 AS INT) + 1] AS position, l_partkey % 11 = 0 AS none, l_partkey % 13 = 0 AS hid, l_partkey % 3 = 0 AS named FROM lineitem),
-        a AS (SELECT *, w * h / (1440.0 * 900.0) AS area FROM e) SELECT (z > 100 AND area > 0.3) OR (position = 'fixed' AND h < 200 AND y > 630) AS modal, NOT (none OR hid OR h < 10) AS shown,
-        z > 100 AND position IN ('fixed', 'absolute') AND (area > 0.5 OR named) AS popup, count(*) AS n FROM a GROUP BY ALL""",
     "visible_top_types": f"WITH {ID_SQL} SELECT type, count(*) AS n FROM typed_id WHERE type NOT IN ('popup', 'cart', 'cart_drawer', 'geofencing') AND height > 0 GROUP BY ALL ORDER BY n DESC, type LIMIT 20",
 }

@@ -264,10 +264,6 @@ def pdp_must_have(spark: SparkSession, d: str) -> DataFrame:
     return m.select("vertical", F.array_join("must_have", ",").alias("must_have"), F.array_join("expected", ",").alias("expected"))
 
 
-def pdp_details(spark: SparkSession, d: str) -> DataFrame:
-    return structural.detail_summary(structural.detail_values(fx.pdp(spark, d)))
-
-
 def url_health(spark: SparkSession, d: str) -> DataFrame:
     h = structural.demo_status(structural.url_status(fx.health(spark, d)))
     return h.groupBy("status", "works", "demo").agg(F.count("*").alias("n"))
@@ -286,7 +282,7 @@ def dead_url_removal(spark: SparkSession, d: str) -> DataFrame:
 
 def sub_vertical_lookup(spark: SparkSession, d: str) -> DataFrame:
     c = fx.compositions(spark, d).withColumn("sub_vertical", F.when(F.col("comp_id") % 3 == 0, F.col("sub_vertical")))
-    look = fx.lines(spark, d).where("l_partkey % 2 = 0").select(F.concat(F.lit("http://s"), "l_orderkey").alias("url"), F.concat(F.lit("sv"), F.col("l_suppkey") % 7).alias("sub_vertical"), F.col("pos").alias("ord"))
+    look = fx.lines(spark, d).select(F.concat(F.lit("http://s"), "l_orderkey").alias("url"), F.concat(F.lit("sv"), F.col("l_suppkey") % 7).alias("sub_vertical"), F.col("pos").alias("ord"))
     return structural.sub_verticals(c, look).select("comp_id", "sub_vertical")
 
 
@@ -379,16 +375,6 @@ def embedding_cosine_topk(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("rank", rank).where("rank <= 3").select("label", "rank", "vec_id", "similarity")
 
 
-def element_filters(spark: SparkSession, d: str) -> DataFrame:
-    p, q = F.col("l_partkey"), F.col("l_quantity")
-    e = fx.table(spark, d, "lineitem").select(
-        (p % 300).alias("z"), (q * 30).alias("w"), (q * 15).alias("h"), F.lit(1440.0).alias("vp_w"), F.lit(900.0).alias("vp_h"), (p % 900).alias("y"), fx.pick(("fixed", "absolute", "static"), p % 3).alias("position"),
-        fx.pick(("block", "none"), F.when(p % 11 == 0, 1).otherwise(0)).alias("display"), fx.pick(("visible", "hidden"), F.when(p % 13 == 0, 1).otherwise(0)).alias("visibility"), F.lit(1.0).alias("opacity"),
-        fx.pick(("Newsletter-Popup", "main", "nav"), p % 3).alias("name"),
-    )
-    return e.groupBy(structural.modal(e).alias("modal"), structural.shown().alias("shown"), structural.popup().alias("popup")).agg(F.count("*").alias("n"))
-
-
 def visible_top_types(spark: SparkSession, d: str) -> DataFrame:
     """A report of the twenty most frequent visible types."""
     return structural.top_counts(structural.visible(fx.scrapes(spark, d)), "type").withColumnRenamed("count", "n")
