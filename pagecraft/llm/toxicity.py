@@ -7,8 +7,10 @@ the id); every row's whole text is scored.
 
 Defined results: null text counts as empty and is scored like all others; a row without label is scored; a label that
 is null counts as none; with several labels for one id the highest counts; without both classes to learn from all scores
-are the share of label 1 (0 without labels); repeated rows each give a row; an empty table gives no rows; extra columns
-are ignored.
+are the share of label 1 (0 without labels); repeated rows each give a row, and in the sample an id counts once, with its first text
+by hash; of lexicon words with equal weight the lesser hash comes first, equal gains go to the first feature and bin; long texts are
+scored whole; an empty table gives no rows; extra columns are ignored. Words are told apart by 64-bit hashes: of n distinct words,
+two merge with probability n**2 / 2**65.
 """
 
 from __future__ import annotations
@@ -238,7 +240,9 @@ def fitted(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = FI
     chosen = per.orderBy(order, "doc_id").limit(fit_rows).withColumn("part", (F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(5))).cast("int"))
     chosen = materialize(chosen, "toxicity-sample")
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sample = text.join(F.broadcast(chosen), "doc_id")
+    # One row for each id, so that repeated ids do not outgrow the sample. FIT_ROWS bounds what is broadcast, 16 bytes a row.
+    sample = text.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "part").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = materialize(sample, "toxicity-texts")
     lexicon_rows = sample.where("part < 2")
     n = chosen.where("part < 2").agg(F.sum("toxic"), F.count("*")).first()
     pos, neg = n[0] or 0, (n[1] or 0) - (n[0] or 0)
