@@ -95,8 +95,9 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def prefix_sums(arr: Column, group: int = 64) -> Column:
-    """Exclusive prefix sums of an array of longs, by groups so that no step copies the whole array."""
+def prefix_sums(arr: Column, group: int = 64, levels: int = 2) -> Column:
+    """Exclusive prefix sums of an array of longs, by groups so that no step copies the whole array; the groups' own sums likewise, levels
+    deep, so that the work is in proportion to the array until it has far more than group**levels items."""
     zero = F.lit(0).cast("long")
     total = lambda a: F.aggregate(a, zero, lambda s, x: s + x)
 
@@ -110,6 +111,7 @@ def prefix_sums(arr: Column, group: int = 64) -> Column:
 
     def all_(a: Column) -> Column:
         inner = lambda i: total(F.slice(a, (i - i % group + 1).cast("int"), (i % group).cast("int")))
-        return let(let(grouped(a), running), lambda before: F.transform(a, lambda _, i: F.get(before, F.floor(i / F.lit(group)).cast("int")) + inner(i)))
+        ahead = let(grouped(a), running) if levels == 1 else prefix_sums(grouped(a), group, levels - 1)
+        return let(ahead, lambda before: F.transform(a, lambda _, i: F.get(before, F.floor(i / F.lit(group)).cast("int")) + inner(i)))
 
     return let(arr, all_)

@@ -7,8 +7,8 @@ A fingerprint is an array of longs: a 32-bit hash above 31 bits of (2**31 - 1 -
 
 Defined results: null text counts as empty and has an empty fingerprint; fewer tokens than k make one gram;
 two empty fingerprints are alike (1.0), an empty and another one are not (0.0); a null doc_id comes after all
-others; rows that repeat a doc_id follow each other by text; the only row is its own next document; an
-empty table gives no rows; extra columns are ignored.
+others; rows that repeat a doc_id follow each other by text; the only row is its own next document; equal minima of a window
+go to the rightmost; long texts are fingerprinted whole; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -60,6 +60,13 @@ def positions(fp: Column) -> Column:
     return F.transform(fp, lambda x: F.lit(POSITION) - x.bitwiseAND(F.lit(POSITION)))
 
 
+def located(docs: DataFrame) -> DataFrame:
+    """doc_id, hash, position (of the gram's first token, from 0) of every kept hash: where matches between documents are looked up."""
+    fp = fingerprint(F.col("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(fp).alias("f"))
+    return rows.select("doc_id", F.shiftright("f", 31).alias("hash"), (F.lit(POSITION) - F.col("f").bitwiseAND(F.lit(POSITION))).alias("position"))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Jaccard similarity of two fingerprints' hashes."""
 

@@ -6,8 +6,9 @@ The largest is compared with the threshold of the candidate's class: hexadecimal
 The allow list suppresses what people write: words, paths and identifiers without digits, digits only, UUIDs, and
 documentation's own sample keys. Spans of the fixed patterns are never suppressed.
 
-Defined results: null text counts as empty and has no spans; positions are code points, the end exclusive;
-repeated rows each give a row; an empty table gives no rows; extra columns are ignored.
+Defined results: null text counts as empty and has no spans; positions are code points, the end exclusive; spans of different kinds
+may share places, and of spans with one start the kinds come in the order of KINDS; repeated rows each give a row; long texts are
+scanned whole; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -29,12 +29,12 @@ def test_language_held_out_accuracy(spark):
 
 
 def test_language_forward_sums_all_segmentations():
-    voc = lattice.vocabulary(lattice.model_path(), True, langid.LONGEST)
+    voc = lattice.vocabulary(lattice.model_path(), True)
     rng = np.random.default_rng(0)
     prob = rng.random((voc.size, 2)) * 1e-3
     ids = {}
     for i, b in enumerate(voc.bytes):
-        if b and i not in set(voc.byte_id) and len(b) <= langid.LONGEST:
+        if b and i not in set(voc.byte_id) and len(b) <= voc.longest:
             ids.setdefault(b.lower(), i)
 
     def brute(s, k):
@@ -60,6 +60,32 @@ def test_language_edges(docs, empty):
     assert langid.predicted(empty, F.lit(True)).count() == 0
 
 
+def test_language_of_long_rows_and_words(spark):
+    """A language whose rows are all long is learned, words of any length count, and repeated rows count once in the sample."""
+    rows = [(i, "kala wo tero " * 4000 + "ka" * 100, "xx") for i in range(4)] + [(10 + i, f"umber dost fling {i}", "yy") for i in range(40)] + [(99, "umber dost fling", "yy")] * 30
+    rows += [(200, "tero kala", None), (201, "dost umber", None)]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predicted(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.col("doc_id") < 200).collect()}
+    assert got[200] == "xx" and got[201] == "yy"
+
+
+def test_language_prediction_against_its_formula(spark, voc):
+    """Prior times the words' forward sums, normalised, from the fitted probabilities."""
+    rows = [(i, "the house of the wind and rain", "en") for i in range(6)] + [(10 + i, "la maison du vent et de la pluie", "fr") for i in range(3)]
+    ask = [(100, "the maison of rain"), (101, "vent et house")]
+    df = spark.createDataFrame([*rows, *[(i, t, None) for i, t in ask]], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in langid.predicted(df, F.col("doc_id") < 100).collect()}
+    lower = lattice.vocabulary(lattice.model_path(), True)
+    counted = [Counter(w for i, t, g in rows if g == lang for w in t.encode().split()) for lang in ("en", "fr")]
+    prob = langid.fit(lower, [dict(c) for c in counted])
+    for i, t in ask:
+        total = np.log([6 / 9, 3 / 9])
+        for w in t.encode().split():
+            b = b" " + w
+            total = total + langid.forward(lower, prob, np.frombuffer(b, np.uint8), np.array([0]), np.array([len(b)]))[0]
+        p = np.exp(total - total.max())
+        assert got[i]["lang_pred"] == ("en", "fr")[int(total.argmax())] and abs(got[i]["score"] - (p / p.sum()).max()) < 1e-9
+
+
 def test_toxicity_held_out(spark):
     docs, labels = (common.table(spark, "/root/testdata/sf0.1", n) for n in ("documents", "labels"))
     got = toxicity.scored(docs, labels, toxicity.learn_rule(F.col("doc_id"))).join(labels, "doc_id").toPandas()
@@ -79,6 +105,99 @@ def test_toxicity_edges(docs, empty, spark):
     assert kept.columns == docs.columns and kept.count() == docs.count()
 
 
+def test_toxicity_of_repeated_ids(spark):
+    """An id that thousands of rows repeat is one row of the sample."""
+    rows = [(1, f"calm words {i}") for i in range(3000)] + [(i, "you vile fool" if i % 2 else "a fine day") for i in range(2, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2 if i > 1 else 0) for i in range(1, 60)], "doc_id long, toxic int")
+    lexicon, model, knots, share = toxicity.fitted(docs, labels, F.lit(True))
+    assert 0.4 < share < 0.6 and model is not None and len(lexicon[0])
+
+
+def features_of(text, lexicon):
+    """The features of one text by their definitions; lexicon maps a whole word to its weight."""
+    def runs_of(inside):
+        out, at = [], None
+        for i, b in enumerate([*text, 32]):
+            ok = inside(b) and i < len(text)
+            if ok and at is None:
+                at = i
+            if not ok and at is not None:
+                out.append((at, i))
+                at = None
+        return out
+
+    letter = lambda b: 65 <= b <= 90 or 97 <= b <= 122 or b >= 128
+    sign = {ord(k): ord(v) for k, v in toxicity.SIGNS.items()}
+    low = bytes(b + 32 if 65 <= b <= 90 else b for b in text)
+    plain = bytes(sign.get(b, b) for b in low)
+    spans = runs_of(letter)
+    weight = [lexicon.get(low[a:b], 0.0) for a, b in spans]
+    second = [low[a:b].decode(errors="replace") in toxicity.SECOND_PERSON for a, b in spans]
+    near = [w > 0 and any(second[max(0, i - toxicity.NEAR) : i + toxicity.NEAR + 1]) for i, w in enumerate(weight)]
+    odd = [(a, b) for a, b in runs_of(lambda c: letter(c) or c in sign) if any(c in sign for c in text[a:b]) and sum(map(letter, text[a:b])) >= 2 and letter(text[b - 1])]
+    signed = [lexicon.get(plain[a:b], 0.0) for a, b in odd]
+    n, size = max(1, len(spans)), max(1, len(text))
+    caps = lambda a, b: all(65 <= c <= 90 for c in text[a:b])
+    space = {9, 10, 11, 12, 13, 32}
+    same = sum(text[i] == text[i - 1] == text[i - 2] and text[i] not in space for i in range(2, len(text)))
+    hits = sum(w > 0 for w in weight)
+    return [
+        sum(weight) / n, math.log1p(hits + sum(w > 0 for w in signed)), max([0.0, *weight, *signed]), math.log1p(sum(near)), sum(second) / n, sum(65 <= c <= 90 for c in text) / size,
+        sum(b - a >= 3 and caps(a, b) for a, b in spans) / n, text.count(b"!") / size, text.count(b"?") / size, sum(32 < c < 128 and not letter(c) and not 48 <= c <= 57 for c in text) / size,
+        len(odd) / n, sum(signed), sum(48 <= c <= 57 for c in text) / size, math.log1p(n), same / size, hits / n,
+    ]
+
+
+def test_toxicity_features_against_their_definitions():
+    lexicon = {b"fool": 2.0, b"vile": 3.5}
+    key = toxicity._hashes(["fool", "vile"])
+    order = np.argsort(key)
+    held = (key[order], np.array([2.0, 3.5])[order])
+    texts = [b"", b"you FOOL!!!", b"a v1le f00l, ten words away from here and there and you", "tu es vile? caf\u00e9 aaa 123".encode(), b"F00L f0ol vile vile YOU fool", b"   ", b"no hit at all 5%"]
+    buf, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
+    assert np.allclose(toxicity.features(buf, ends, held), [features_of(t, lexicon) for t in texts])
+
+
+def test_trees_against_an_exhaustive_search():
+    """Each tree's splits have the largest gain over all features and bins, its leaves the Newton step, and margins are their sum."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 3))
+    y = ((x[:, 0] > 0.2) ^ (x[:, 1] > 0)).astype(float)
+    model = toxicity.Trees(x, y, trees=3, depth=2)
+    b = model._binned(x)
+    f = np.full(300, model.start)
+    for split, value in model.trees:
+        p = 1 / (1 + np.exp(-f))
+        g, h = y - p, p * (1 - p)
+        node = np.zeros(300, np.int64)
+        for d in range(2):
+            for k in range(2**d):
+                own = node == k
+                gain = lambda left: g[own & left].sum() ** 2 / (h[own & left].sum() + 1) + g[own & ~left].sum() ** 2 / (h[own & ~left].sum() + 1)  # noqa: E731, B023
+                if own.sum() >= 20:
+                    best = max(gain(b[:, c] <= i) for c in range(3) for i in range(toxicity.BINS))
+                    c, i = split[2**d - 1 + k]
+                    assert abs(gain(b[:, c] <= i) - best) < 1e-9
+            at = split[2**d - 1 + node]
+            node = node * 2 + (b[np.arange(300), at[:, 0]] > at[:, 1])
+        want = [toxicity.RATE * g[node == k].sum() / (h[node == k].sum() + 1) for k in range(4)]
+        assert np.allclose(value, want)
+        f += value[node]
+    assert np.allclose(model.margin(x), f)
+
+
+def test_isotonic_against_min_max():
+    """The fit at each point is the largest over starts of the least mean over ends, up to the half count that pulls pools in."""
+    rng = np.random.default_rng(9)
+    x = np.sort(rng.normal(size=40))
+    y = (x + rng.normal(size=40) > 0).astype(float)
+    xs, ys = toxicity.isotonic(x, y)
+    want = np.array([max(min(y[a : b + 1].mean() for b in range(i, 40)) for a in range(i + 1)) for i in range(40)])
+    got = np.interp(x, xs, ys)
+    assert all((want[i] == want[i + 1]) <= (abs(got[i] - got[i + 1]) < 1e-9) for i in range(39)) and np.abs(got - want).max() <= 0.51
+
+
 def test_isotonic_does_not_fall():
     x = np.random.default_rng(1).normal(size=500)
     y = (x + np.random.default_rng(2).normal(size=500) > 0).astype(float)
@@ -206,6 +325,40 @@ def test_products_associate():
     assert np.allclose(spm.combined(spm.combined(a, b), c), spm.combined(a, spm.combined(b, c)))
 
 
+def test_pipeline_of_edge_rows(spark, docs, raw, empty, tmp_path):
+    """All stages on nulls, copies, long texts and clashing columns, and on an empty table: as brute force says, stage by stage."""
+    import corpus_pipeline
+
+    for name, frame in (("some", docs), ("none", empty)):
+        frame.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    steps, at = {}, spark.read.parquet(f"{tmp_path}/some/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        at = common.materialize(stage(spark, at, f"{tmp_path}/some"), "edge-stage")
+        steps[name] = [tuple(r) for r in at.collect()]
+        assert at.columns == docs.columns
+    assert Counter(steps["toxicity"]) == Counter(raw)  # no labels: nothing goes
+    norm = lambda t: "".join((t or "").split())
+    best = {}
+    for r in raw:
+        best.setdefault(norm(r[1]), []).append(r)
+    want = Counter((min(v, key=lambda r: (-len(r[1] or ""), r[0] is None, r[0] or 0))[0], k) for k, v in best.items())
+    assert Counter((r[0], norm(r[1])) for r in steps["exact_dedup"]) == want
+    sets, group = [], {}
+    for r in steps["exact_dedup"]:
+        w = (r[1] or "").encode().lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    for i, a in enumerate(sets):
+        group[i] = next((j for j in range(i) if a and 100 * len(a & sets[j]) >= 80 * len(a | sets[j])), i)
+    assert all(group[j] == j for j in group.values())  # no chains here
+    kept = [min((r for i, r in enumerate(steps["exact_dedup"]) if group[i] == g), key=lambda r: (r[0] is None, r[0] or 0)) for g in set(group.values())]
+    assert Counter(r[:2] for r in steps["near_dedup"]) == Counter(r[:2] for r in kept)
+    assert {r[:2] for r in steps["mixing"]} <= {r[:2] for r in steps["near_dedup"] if norm(r[1])}
+    out = corpus_pipeline.run(spark, f"{tmp_path}/some").collect()
+    assert Counter((r["doc_id"], r["decoded_sha256"]) for r in out) == Counter((r[0], hashlib.sha256(r[1].encode()).hexdigest()) for r in steps["mixing"])
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

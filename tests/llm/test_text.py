@@ -106,6 +106,39 @@ def test_winnowing_rules(spark):
     assert a & b
 
 
+def test_located_matches(spark):
+    """A shared run of seven tokens is found at its places in both documents."""
+    shared = " ".join(f"q{i}" for i in range(7))
+    docs = spark.createDataFrame([(1, f"a b c d {shared} e f"), (2, f"{shared} z y x w v u"), (3, None)], "doc_id long, text string")
+    rows = fingerprints.located(docs).collect()
+    at = {i: {r["hash"]: r["position"] for r in rows if r["doc_id"] == i} for i in (1, 2, 3)}
+    both = at[1].keys() & at[2].keys()
+    assert both and all(at[1][h] - at[2][h] == 4 for h in both) and not at[3]
+
+
+def test_likeness_against_sets(spark, docs, raw):
+    """near_edited and near_next are the shares that the hashes of the two texts have in common; equal texts have equal fingerprints."""
+    order = sorted(raw, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    texts = [r[1] or "" for r in order]
+    edited = [t[: len(t) - len(t) // 2] + n[: len(t) // 2] for t, n in zip(texts, texts[1:] + texts[:1], strict=True)]
+    df = spark.createDataFrame(list(enumerate(texts + edited)), "i int, text string")
+    h = {r["i"]: set(r["h"]) for r in df.select("i", fingerprints.hashes(fingerprints.fingerprint(F.col("text"))).alias("h")).collect()}
+    like = lambda a, b: 1.0 if not a and not b else len(a & b) / len(a | b)
+    n = len(texts)
+    want = Counter((r[0], round(like(h[i], h[n + i]), 9), round(like(h[i], h[(i + 1) % n]), 9)) for i, r in enumerate(order))
+    got = fingerprints.compared_with_edits(docs).collect()
+    assert Counter((r["doc_id"], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in got) == want
+    prints = {}
+    by_text = Counter((r[0], r[1] or "") for r in order)
+    for r in got:
+        prints.setdefault(r["doc_id"], set()).add(r["fingerprint"])
+    alone = {i: t for (i, t), _ in by_text.items() if i is not None and len(prints[i]) == 1}
+    same = {}
+    for i, t in alone.items():
+        same.setdefault(t, set()).update(prints[i])
+    assert all(len(v) == 1 for v in same.values())
+
+
 def luhn(d):
     return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
 
