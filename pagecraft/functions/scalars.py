@@ -39,15 +39,25 @@ def channels(hex_: Column) -> list[Column]:
     return [part(1), part(3), part(5)]
 
 
+def rgb_number(hex_: Column) -> Column:
+    """A colour as one whole number; what is not a colour counts as black."""
+    return F.coalesce(F.conv(F.nullif(F.regexp_extract(hex_, r"(?i)^#?([a-f0-9]{6})$", 1), F.lit("")), 16, 10).cast("int"), F.lit(0))
+
+
+def split_number(n: Column) -> tuple[Column, Column, Column]:
+    """r, g, b of a rgb_number()."""
+    r, g, b = (F.shiftright(n, shift).bitwiseAND(F.lit(255)) for shift in (16, 8, 0))
+    return r, g, b
+
+
 def parsed(hex_: Column) -> Column:
     """struct(hex, r, g, b, luma, sat), for what names a colour's numbers more than once. luma is 0..255."""
 
     def numbers(n: Column) -> Column:
-        r, g, b = (F.shiftright(n, shift).bitwiseAND(F.lit(255)) for shift in (16, 8, 0))
+        r, g, b = split_number(n)
         return F.struct(hex_.alias("hex"), r.alias("r"), g.alias("g"), b.alias("b"), _luma(r, g, b).alias("luma"), hsl_of(r, g, b)[1].alias("sat"))
 
-    value = F.conv(F.nullif(F.regexp_extract(hex_, r"(?i)^#?([a-f0-9]{6})$", 1), F.lit("")), 16, 10).cast("int")
-    return F.when(hex_.isNotNull(), let(F.coalesce(value, F.lit(0)), numbers))
+    return F.when(hex_.isNotNull(), let(rgb_number(hex_), numbers))
 
 
 def to_hex(r: Column, g: Column, b: Column) -> Column:

@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagecraft.functions import vocab
-from pagecraft.functions.scalars import TONES, channels, gap, hsl_of, parsed, shifted, to_hex
+from pagecraft.functions.scalars import TONES, gap, hsl_of, parsed, rgb_number, shifted, split_number, to_hex
 
 
 def with_channels(rows: DataFrame) -> DataFrame:
-    """rows with r, g, b of hex as columns, so that expressions on them parse it once."""
-    return rows.withColumns(dict(zip(("r", "g", "b"), channels(F.col("hex")), strict=True)))
+    """rows with rgb, the number of hex, and r, g, b as columns, so that expressions on them parse it once."""
+    rows = rows if "rgb" in rows.columns else rows.withColumn("rgb", rgb_number(F.col("hex")))
+    return rows.withColumns(dict(zip(("r", "g", "b"), split_number(F.col("rgb")), strict=True)))
 
 
 def visual_weight(area: Column, depth: Column, *rgb: Column) -> Column:
@@ -31,13 +32,13 @@ def painted(elements: DataFrame) -> DataFrame:
 
 
 def top_colours(elements: DataFrame, k: int = 15) -> DataFrame:
-    """comp_id, hex, rank, proportion: each composition's k heaviest colours, as shares of all its weight; ties by hex."""
+    """comp_id, hex, rgb, rank, proportion: each composition's k heaviest colours, as shares of all its weight; ties by hex."""
     weight = visual_weight(F.col("area"), F.col("depth"), F.col("r"), F.col("g"), F.col("b"))
-    sums = with_channels(elements).groupBy("comp_id", "hex").agg(F.sum(weight).alias("w"))
+    sums = with_channels(elements).groupBy("comp_id", "hex", "rgb").agg(F.sum(weight).alias("w"))
     own = Window.partitionBy("comp_id")
     share = F.coalesce(F.try_divide(F.col("w"), F.sum("w").over(own)), F.lit(0.0))
     ranked = sums.withColumns({"proportion": share, "rank": F.row_number().over(own.orderBy(F.round("w", 6).desc(), "hex"))})
-    return ranked.where(F.col("rank") <= k).select("comp_id", "hex", "rank", "proportion")
+    return ranked.where(F.col("rank") <= k).select("comp_id", "hex", "rgb", "rank", "proportion")
 
 
 def frequencies(elements: DataFrame, weight: Column, k: int) -> DataFrame:

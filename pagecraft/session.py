@@ -14,5 +14,7 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # The size to which the JVM compiles a method. Wider expressions than that then run as several methods, not as one that is interpreted.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     return builder.config(map=base | conf).getOrCreate()
