@@ -182,10 +182,10 @@ def selected(archs: DataFrame, contexts: DataFrame, count: int = 3, most: float
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.assign(r=-pdf["relevance"].round(9)).sort_values(["r", "own", "rank"])
-        unit = vectors._weighted(np.stack(pdf["vec"].to_list()), pdf["vertical"].iloc[0])
+        v, length = vectors._weighted(np.stack(pdf["vec"].to_list()), pdf["vertical"].iloc[0])
         chosen: list[int] = []
         for i in range(len(pdf)):
-            if len(chosen) < count and not any(unit[i] @ unit[j] > most for j in chosen):
+            if len(chosen) < count and not (vectors._cosines(v[chosen], length[chosen], v[i], length[i]) > most).any():
                 chosen.append(i)
         out = pdf.iloc[chosen][["context_id", "archetype_id", "relevance"]]
         return out.assign(place=range(1, len(out) + 1))[["context_id", "place", "archetype_id", "relevance"]]

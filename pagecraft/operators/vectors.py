@@ -61,32 +61,39 @@ def fingerprint_dedup(df: DataFrame, key: str = "fingerprint") -> DataFrame:
     return df.withColumns({"_rank": best, "_first": F.min("ord").over(own)}).where("_rank = 1").withColumn("ord", F.col("_first")).drop("_rank", "_first")
 
 
-def _weighted(vectors: np.ndarray, vertical: str) -> np.ndarray:
+def _weighted(vectors: np.ndarray, vertical: str) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors under a vertical's weights, and their lengths."""
     w = vectors * np.array(vocab.weights(vertical))
-    return w / np.maximum(np.sqrt((w * w).sum(axis=1, keepdims=True)), 1e-12)
+    return w, np.sqrt((w * w).sum(axis=-1))
+
+
+def _cosines(rows: np.ndarray, lengths: np.ndarray, x: np.ndarray, length: float) -> np.ndarray:
+    """cosine() of each row with x, with the same small term below."""
+    return (rows @ x) / (lengths * length + 1e-8)
 
 
 def greedy_kept(vectors: np.ndarray, verticals: list[str], quality: np.ndarray, threshold: float) -> list[int]:
     """Rows that stay: a row like a kept one (under its own vertical's weights) takes that one's place if it is better, and goes
     otherwise. Kept rows are compared in the order of their places."""
     kept: list[int] = []
-    size = max(1, len(vectors))
-    slots = {v: np.zeros((min(1024, size), vectors.shape[1])) for v in set(verticals)}
-    ready = {v: _weighted(vectors, v) for v in slots}
+    size = min(1024, max(1, len(vectors)))
+    ready = {v: _weighted(vectors, v) for v in set(verticals)}
+    slots = {v: (np.zeros((size, vectors.shape[1])), np.zeros(size)) for v in ready}
     for i, v in enumerate(verticals):
-        hit = np.flatnonzero(slots[v][: len(kept)] @ ready[v][i] > threshold)
+        n = len(kept)
+        hit = np.flatnonzero(_cosines(slots[v][0][:n], slots[v][1][:n], ready[v][0][i], ready[v][1][i]) > threshold)
         if len(hit):
             at = int(hit[0])
             if quality[i] <= quality[kept[at]]:
                 continue
             kept[at] = i
         else:
-            at = len(kept)
+            at = n
             kept.append(i)
-            if at >= len(slots[v]):
-                slots = {k: np.concatenate([m, np.zeros_like(m)]) for k, m in slots.items()}
-        for k in slots:
-            slots[k][at] = ready[k][i]
+            if at >= len(slots[v][0]):
+                slots = {k: (np.concatenate([m, np.zeros_like(m)]), np.concatenate([l, np.zeros_like(l)])) for k, (m, l) in slots.items()}
+        for k, (m, lengths) in slots.items():
+            m[at], lengths[at] = ready[k][0][i], ready[k][1][i]
     return kept
 
 
@@ -106,19 +113,19 @@ def greedy_clusters(vectors: np.ndarray, vertical: str, threshold: float) -> np.
     """Each row's cluster: the most similar centroid above the threshold, the first on ties; else a new one. Centroids are running means."""
     w = np.array(vocab.weights(vertical))
     sums, sizes, out = np.zeros((64, vectors.shape[1])), np.zeros(64), np.zeros(len(vectors), np.int64)
-    unit, n = np.zeros_like(sums), 0
+    centres, lengths, n = np.zeros_like(sums), np.zeros(64), 0
     for i, x in enumerate(vectors):
         v = x * w
-        sim = unit[:n] @ (v / max(np.sqrt(v @ v), 1e-12)) if n else np.zeros(0)
+        sim = _cosines(centres[:n], lengths[:n], v, np.sqrt(v @ v)) if n else np.zeros(0)
         at = int(sim.argmax()) if n and sim.max() > threshold else n
         if at == n:
             n += 1
             if n > len(sums):
-                sums, unit, sizes = (np.concatenate([a, np.zeros_like(a)]) for a in (sums, unit, sizes))
+                sums, centres, sizes, lengths = (np.concatenate([a, np.zeros_like(a)]) for a in (sums, centres, sizes, lengths))
         sums[at] += x
         sizes[at] += 1
-        c = sums[at] / sizes[at] * w
-        unit[at] = c / max(np.sqrt(c @ c), 1e-12)
+        centres[at] = sums[at] / sizes[at] * w
+        lengths[at] = np.sqrt(centres[at] @ centres[at])
         out[i] = at
     return out
 

@@ -246,10 +246,10 @@ SQL: dict[str, str] = {
     "archetype_relevance": RELEVANCE,
     "section_freq_matrix": f"""WITH {fx.KEPT_SQL}, {fx.COMPS_SQL}, st AS (SELECT sub_vertical, count(*) AS stores FROM comps GROUP BY ALL), n AS (SELECT sub_vertical, type, count(*) AS n FROM kept JOIN comps USING (comp_id) GROUP BY ALL)
         SELECT st.sub_vertical, t.type, coalesce(n, 0) AS n, stores FROM st CROSS JOIN (SELECT unnest({TYPES}) AS type) t LEFT JOIN n ON n.sub_vertical = st.sub_vertical AND n.type = t.type""",
-    "essential_sections": f"""WITH {fx.KEPT_SQL}, {fx.COMPS_SQL}, c AS (SELECT comp_id, sub_vertical || (comp_id % 50) AS sub_vertical FROM comps), st AS (SELECT sub_vertical, count(*) AS stores FROM c GROUP BY ALL),
-        n AS (SELECT sub_vertical, type, count(*) AS n FROM kept JOIN c USING (comp_id) GROUP BY ALL) SELECT sub_vertical, type, round(n / stores, 6) AS share FROM n JOIN st USING (sub_vertical) WHERE stores >= 2 AND n / stores >= 0.25""",
-    "pdp_freq_matrix": f"WITH {PDP_MATRIX.replace('pdp_in', 'pdp')} SELECT *, CASE WHEN pct >= 80 THEN 'must-have' WHEN pct >= 50 THEN 'expected' WHEN pct >= 30 THEN 'optional' ELSE 'rare' END AS tier FROM matrix",
-    "pdp_must_have": f"""WITH {PDP_MATRIX.replace('pdp_in', '(SELECT * FROM pdp WHERE present)')}, m AS (SELECT key AS vertical, element, pct * 3 AS pct FROM matrix WHERE scope = 'vertical')
+    "essential_sections": f"""WITH {fx.KEPT_SQL}, {fx.COMPS_SQL}, few AS (SELECT comp_id, {TYPES}[CAST(floor(sqrt(list_position({TYPES}, type) - 1)) AS INTEGER) + 1] AS type FROM kept), c AS (SELECT comp_id, sub_vertical || (comp_id % 50) AS sub_vertical FROM comps), st AS (SELECT sub_vertical, count(*) AS stores FROM c GROUP BY ALL),
+        n AS (SELECT sub_vertical, type, count(*) AS n FROM few JOIN c USING (comp_id) GROUP BY ALL) SELECT sub_vertical, type, round(n / stores, 6) AS share FROM n JOIN st USING (sub_vertical) WHERE stores >= 2 AND n / stores >= 0.7""",
+    "pdp_must_have": f"""WITH pages AS (SELECT 'v' || (l_suppkey % 5) AS vertical, l_suppkey, 'el' || lpad((l_partkey % 12)::VARCHAR, 2, '0') AS element, bool_or(l_suppkey * 7 % 12 >= l_partkey % 12) AS present FROM lineitem GROUP BY ALL),
+        t AS (SELECT vertical, count(DISTINCT l_suppkey) AS pages FROM pages GROUP BY ALL), m AS (SELECT vertical, element, {_PCT('count(*)', 'any_value(pages)')} AS pct FROM pages JOIN t USING (vertical) WHERE present GROUP BY ALL)
         SELECT vertical, coalesce(string_agg(element, ',' ORDER BY pct DESC, element) FILTER (pct >= 80), '') AS must_have, coalesce(string_agg(element, ',' ORDER BY pct DESC, element) FILTER (pct BETWEEN 50 AND 79), '') AS expected FROM m GROUP BY vertical""",
     "url_health": f"""WITH {fx.HEALTH_SQL}, h AS (SELECT *, {STATUS} AS status FROM health) SELECT status, status IN ('ok', 'partial') AS works,
         CASE WHEN error IS NOT NULL OR http_status >= 400 THEN 'dead' WHEN locked THEN 'locked' WHEN n_sections >= 3 OR body_height > 1000 THEN 'live' ELSE 'dead' END AS demo, count(*) AS n FROM h GROUP BY ALL""",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagecraft.functions import scalars as sc
+from pagecraft.functions import vocab
 from pagecraft.operators import fonts, library, palette, quality, sections, structural, vectors
 from pagecraft.plans import fixtures as fx
 from pagecraft.sources import readers
@@ -250,17 +251,32 @@ def section_freq_matrix(spark: SparkSession, d: str) -> DataFrame:
     return structural.section_matrix(fx.compositions(spark, d), sections.confident(fx.sections(spark, d))).select("sub_vertical", "type", "n", "stores")
 
 
+def few_types(sections_: DataFrame) -> DataFrame:
+    """Sections folded to six types of unlike frequency, so that some are essential by the default share and others are not."""
+    known = F.array(*[F.lit(t) for t in vocab.SECTION_TYPES])
+    return sections_.withColumn("type", F.get(known, F.floor(F.sqrt(F.array_position(known, F.col("type")) - 1)).cast("int")))
+
+
 def essential_sections(spark: SparkSession, d: str) -> DataFrame:
-    m = structural.section_matrix(fx.compositions(spark, d).withColumn("sub_vertical", F.concat("sub_vertical", F.col("comp_id") % 50)), sections.confident(fx.sections(spark, d)))
-    return structural.essential(m, 0.25).select("sub_vertical", "type", r6("share", "share"))
+    c = fx.compositions(spark, d).withColumn("sub_vertical", F.concat("sub_vertical", F.col("comp_id") % 50))
+    return structural.essential(structural.section_matrix(c, few_types(sections.confident(fx.sections(spark, d))))).select("sub_vertical", "type", r6("share", "share"))
 
 
 def pdp_freq_matrix(spark: SparkSession, d: str) -> DataFrame:
     return structural.pdp_matrix(fx.pdp(spark, d)).withColumn("tier", structural.tier(F.col("pct")))
 
 
+def supplier_pages(spark: SparkSession, d: str) -> DataFrame:
+    """A product page for each supplier, with an element for each of its line items; of twelve kinds each is present on fewer pages."""
+    p, k = F.col("l_partkey") % 12, F.col("l_suppkey")
+    order = F.row_number().over(sections.Window.partitionBy("l_suppkey").orderBy("l_orderkey", *fx.LINE_ORDER)) - 1
+    return fx.table(spark, d, "lineitem").select(
+        F.concat(F.lit("http://p"), k).alias("url"), F.concat(F.lit("v"), k % 5).alias("vertical"), F.concat(F.lit("s"), k % 7).alias("sub_vertical"), order.alias("pos"), F.concat(F.lit("el"), F.lpad(p.cast("string"), 2, "0")).alias("element"), (k * 7 % 12 >= p).alias("present")
+    )
+
+
 def pdp_must_have(spark: SparkSession, d: str) -> DataFrame:
-    m = structural.must_have(structural.pdp_matrix(fx.pdp(spark, d).where("present")).withColumn("pct", F.col("pct") * 3))
+    m = structural.must_have(structural.pdp_matrix(supplier_pages(spark, d)))
     return m.select("vertical", F.array_join("must_have", ",").alias("must_have"), F.array_join("expected", ",").alias("expected"))
 
 
