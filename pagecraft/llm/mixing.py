@@ -157,6 +157,22 @@ def _taken(docs: DataFrame, block: int, *also: Column) -> DataFrame:
     return rows.join(got, ["sid", "off", "size"], "left").withColumn("taken", F.coalesce("taken", zero))
 
 
+def packed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """shard, slot, source, n_words, text: the mix itself, one row for each slot with the words that it takes, in their order. A block
+    has at most block words, so what is gathered for a slot is bounded."""
+    rows = materialize(streams(docs, F.col("text")), "mix-texts")
+    aim = rows.select("sid", "source_size", "target").distinct()
+    low, high = F.floor(F.col("off") / block), F.floor((F.col("off") + F.col("size") - 1) / block)
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    cut = rows.where("size > 0").withColumn("words", words).select("sid", "source", "off", "size", "words", F.explode(F.sequence(low, high)).alias("block"))
+    first = F.greatest(F.col("block") * block - F.col("off"), F.lit(0).cast("long"))
+    part = F.slice("words", (first + 1).cast("int"), F.least(F.col("size"), (F.col("block") + 1) * block - F.col("off")).cast("int") - first.cast("int"))
+    pieces = cut.select("sid", "block", F.struct("off", part.alias("words")).alias("piece"), "source")
+    found = slots(aim, block).join(pieces, ["sid", "block"]).groupBy("shard", "sid", "slot", "words").agg(F.array_sort(F.collect_list("piece")).alias("pieces"), F.first("source").alias("source"))
+    taken = F.slice(F.flatten(F.transform("pieces", lambda p: p["words"])), F.lit(1), F.col("words").cast("int"))
+    return found.select("shard", "slot", "source", F.col("words").alias("n_words"), F.array_join(taken, " ").alias("text"))
+
+
 def with_copies(rows: DataFrame) -> DataFrame:
     """rows (sid, off, size > 0, taken, ...) with copies: taken / size, rounded so that each row's expectation is exact.
 

@@ -275,6 +275,27 @@ def test_mixing(docs, raw, empty):
     assert mixing.remixed(docs).columns == docs.columns
 
 
+def test_packed_blocks_are_the_mix(docs, raw, empty):
+    """The words of the packed blocks are those that the documents' shares say, and every block is a stretch of its source's stream."""
+    blocks = mixing.packed(docs, 16).collect()
+    took = Counter()
+    for r in mixing.mixed(docs, 16).collect():
+        took[r["source"]] += r["taken"]
+    got = Counter()
+    for r in blocks:
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", r["text"]))
+        assert n == r["n_words"] and 0 < n <= 16
+        got[r["source"]] += n
+    assert got == +took
+    known = {}
+    for r in raw:
+        known.setdefault(r[3], set()).update(re.findall(r"[^\x20\x09-\x0D]+", r[1] or ""))
+    assert all(set(r["text"].split(" ")) <= known[r["source"]] for r in blocks)
+    counts = mixing.shard_counts(mixing.slots(mixing.streams(docs).select("sid", "source_size", "target").distinct(), 16)).collect()
+    assert sum(r["words"] for r in counts) == sum(got.values()) and sum(r["slots"] for r in counts) == len(blocks)
+    assert mixing.packed(empty).count() == 0
+
+
 def test_remixed_words_meet_targets(spark):
     """Whole documents add up to their source's target, also where each is taken by less than half, and repeated keys do not add rows."""
     rng = random.Random(11)
