@@ -33,6 +33,8 @@ from pagecraft.llm.textkernel import LOWER, SPACE, chunks, disjoint_hash, mix, r
 ADD = 0.1
 PRIOR = 16.0
 SHARD_TOKENS = 1_000_000
+#: At most this many words are dealt out by the word before, 16 bytes each. Others have less than one in this many of all tokens.
+HEAVY_WORDS = 500_000
 #: Distinct pairs are sought in chunks of about this many bytes of text, and at most so many rows.
 CHUNK_BYTES, CHUNK_ROWS = 4 << 20, 1 << 16
 #: The words before a word, packed.
@@ -311,8 +313,8 @@ def scored(docs: DataFrame, learn: Column, prior: float = PRIOR, shard_tokens: i
     end = F.col("word") == int(np.array([END]).view(np.int64)[0])
     n, distinct, starts = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(end, F.col("c"))), F.lit(0))).first()
     shards = max(16, -(-n // shard_tokens))
-    # At most 4 * shards words can be this frequent.
-    top = words.where(F.col("c") >= max(1000, n / (4 * shards))).collect()
+    # No more than 4 * shards, nor HEAVY_WORDS, words can be this frequent.
+    top = words.where(F.col("c") >= max(1000, n / (4 * shards), n / HEAVY_WORDS)).collect()
     heavy, heavy_c = np.array([r["word"] for r in top], np.int64).view(np.uint64), np.array([r["c"] for r in top], np.int64)
     dealt = src.mapInArrow(_dealing(heavy, shards, salt), _KINDS)
     sums = dealt.groupBy("shard").applyInArrow(_answering(n, distinct, heavy, heavy_c, prior), _KINDS)
