@@ -118,8 +118,11 @@ def _with_mark(buf: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, ends - size + shift - some
 
 
-def _encoding(path: str):
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+_IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+
+
+def _encoding(path: str, check: bool):
+    """Batches (doc_id, text) to rows of _IDS, or of _TRIP if check asks for the digest of what the ids decode to."""
 
     def run(batches):
         voc = lattice.vocabulary(path)
@@ -128,7 +131,8 @@ def _encoding(path: str):
             for lo, hi, buf, ends in chunks(batch.column(1), RUN_BYTES):
                 stop, ids = encode_strings(voc, score, *_with_mark(buf, ends))
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stop]).astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], schema=schema)
+                out = pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], schema=_IDS)
+                yield from _digested(voc, out) if check else [out]
 
     return run
 
@@ -344,11 +348,15 @@ def _tracing(path: str):
 
 def encoded(docs: DataFrame, path: str | None = None, giant: int = GIANT_BYTES, chunk: int = CHUNK) -> DataFrame:
     """doc_id and ids (array of int) for every row of docs."""
-    path = lattice.model_path(path)
+    return _encoded(docs, lattice.model_path(path), giant, chunk, False)
+
+
+def _encoded(docs: DataFrame, path: str, giant: int, chunk: int, check: bool) -> DataFrame:
+    kind = "doc_id long, n_pieces long, ids array<int>, decoded_sha256 string" if check else "doc_id long, ids array<int>"
     longest = lattice.vocabulary(path).longest
     src = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     big = F.octet_length("text") > giant
-    usual = src.where(~big).mapInArrow(_encoding(path), "doc_id long, ids array<int>")
+    usual = src.where(~big).mapInArrow(_encoding(path, check), kind)
     huge = materialize(src.where(big).withColumn("rid", F.monotonically_increasing_id()), "giant")
     if huge.isEmpty():
         return usual
@@ -364,7 +372,8 @@ def encoded(docs: DataFrame, path: str | None = None, giant: int = GIANT_BYTES,
     discard(mats)
     traced_ = parts.join(states, ["rid", "chunk"]).mapInArrow(_tracing(path), "rid long, chunk int, ids array<int>")
     whole = traced_.groupBy("rid").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"])).alias("ids"))
-    return usual.unionByName(huge.select("rid", "doc_id").join(whole, "rid").select("doc_id", "ids"))
+    whole = huge.select("rid", "doc_id").join(whole, "rid").select("doc_id", "ids")
+    return usual.unionByName(whole.mapInArrow(_checking(path), kind) if check else whole)
 
 
 def decode_lists(voc, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
@@ -407,21 +416,27 @@ def decoded(ids: DataFrame, path: str | None = None) -> DataFrame:
     return src.mapInArrow(_decoding(lattice.model_path(path)), "doc_id long, text string")
 
 
-def _checking(path: str):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded_sha256", pa.string())])
+_TRIP = pa.schema([("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded_sha256", pa.string())])
 
+
+def _digested(voc, batch: pa.RecordBatch):
+    """Rows of _IDS with their number of pieces and the digest of what they decode to."""
+    for lo, hi, ids, ends in _lists(batch.column(1)):
+        sha = [hashlib.sha256(b).hexdigest() for b in decode_lists(voc, ids, ends)]
+        part = batch.slice(lo, hi - lo)
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(ends, prepend=0)), part.column(1), pa.array(sha, pa.string())], schema=_TRIP)
+
+
+def _checking(path: str):
     def run(batches):
         voc = lattice.vocabulary(path)
         for batch in batches:
-            for lo, hi, ids, ends in _lists(batch.column(1)):
-                sha = [hashlib.sha256(b).hexdigest() for b in decode_lists(voc, ids, ends)]
-                part = batch.slice(lo, hi - lo)
-                n = np.diff(ends, prepend=0)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), part.column(1), pa.array(sha, pa.string())], schema=schema)
+            yield from _digested(voc, batch)
 
     return run
 
 
-def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_pieces, ids, and the SHA-256 of the text that the ids decode to, for every row of docs."""
-    return encoded(docs, path).mapInArrow(_checking(lattice.model_path(path)), "doc_id long, n_pieces long, ids array<int>, decoded_sha256 string")
+def round_trip(docs: DataFrame, path: str | None = None, giant: int = GIANT_BYTES, chunk: int = CHUNK) -> DataFrame:
+    """doc_id, n_pieces, ids, and the SHA-256 of the text that the ids decode to, for every row of docs. Usual texts are decoded in the
+    worker that encodes them."""
+    return _encoded(docs, lattice.model_path(path), giant, chunk, True)
