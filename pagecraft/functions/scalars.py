@@ -79,7 +79,8 @@ def luminance(hex_: Column) -> Column:
 
 
 def is_dark(hex_: Column) -> Column:
-    return luminance(hex_) * 255.0 < 128
+    # The luma itself: over 255 and back it may fall below 128 where it is 128.
+    return _luma(*channels(hex_)) < 128
 
 
 def hsl_of(r: Column, g: Column, b: Column) -> tuple[Column, Column, Column]:

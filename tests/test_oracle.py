@@ -7,7 +7,10 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from pagecraft.functions import scalars as sc
+from pagecraft.plans import fixtures as fx
 from pagecraft.plans import registry
 
 from .conftest import DATA
@@ -40,3 +43,14 @@ def test_query_matches_sql(spark, duck, name):
     assert cols == sorted(theirs.columns)
     assert len(ours) > 0
     assert rows(ours, cols) == rows(theirs, cols)
+
+
+def test_colours_of_luma_128_are_not_dark(spark, duck):
+    """Colours whose luma is 128, or a hair beside it, by the query and by its SQL."""
+    hexes = [f"#{r:02x}{g:02x}{b:02x}" for r in range(256) for g in range(256) for b in range(0, 256, 5) if 299 * r + 587 * g + 114 * b == 128_000]
+    ours = spark.createDataFrame([(h,) for h in hexes], "hex string").select("hex", sc.is_dark(F.col("hex")).alias("dark")).toPandas()
+    sql = registry.ORACLE_SQL["color_scalars"].replace(fx.COLOURS_SQL, "rgb AS (SELECT hex, ('0x' || hex[2:3])::INTEGER AS r, ('0x' || hex[4:5])::INTEGER AS g, ('0x' || hex[6:7])::INTEGER AS b FROM painted)")
+    duck.register("painted", ours[["hex"]])
+    theirs = duck.sql(f"SELECT hex, dark FROM ({sql})").df()
+    assert "#66889b" in hexes
+    assert dict(ours.itertuples(index=False)) == dict(theirs.itertuples(index=False))
