@@ -95,7 +95,7 @@ def roles(palettes: DataFrame) -> DataFrame:
     p = p.withColumns({"_bg": parsed(F.col("background")), "text_primary": text}).withColumn("_main", parsed(F.col("text_primary")))
     bg, main = F.col("_bg"), F.col("_main")
     rest = F.slice(c, F.lit(2), F.greatest(F.size(c), F.lit(1)))
-    near = _first(rest, lambda x: (F.abs(x["luma"] / F.lit(255.0) - bg["luma"] / F.lit(255.0)) < 0.3) & (gap(x, bg) > 20))
+    near = _first(rest, lambda x: (F.abs(x["luma"] - bg["luma"]) / F.lit(255.0) < 0.3) & (gap(x, bg) > 20))
     best = _most_saturated(F.filter(c, lambda x: (x["hex"] != bg["hex"]) & (gap(x, bg) > 40)))
     p = p.withColumns(
         {
