@@ -129,16 +129,17 @@ def detail_values(pdp: DataFrame) -> DataFrame:
 def detail_summary(values: DataFrame, k: int = 5) -> DataFrame:
     """element, field, kind, n (pages), most_common, distribution, true_pct, average, low, high: as the kind of the field's first value asks.
     most_common has the mode of texts or the k most frequent values of lists, distribution the k most frequent texts with counts, ties by
-    what came first."""
+    the least place, which is a text: the url, then the position and the place in the list in six digits."""
+    six = lambda c: F.lpad(F.col(c).cast("string"), 6, "0")
     per = values.groupBy("element", "field", "value").agg(
-        F.count("*").alias("c"), F.min(F.struct("ord", "at")).alias("first"), F.min_by("kind", F.struct("ord", "at")).alias("kind"), F.min("x").alias("x"), F.count_if(F.col("kind") == "boolean").alias("booleans")
+        F.count("*").alias("c"), F.min(F.concat("ord.url", six("ord.pos"), six("at"))).alias("first"), F.min(F.struct("ord", "at")).alias("earliest"), F.min_by("kind", F.struct("ord", "at")).alias("kind"), F.min("x").alias("x"), F.count_if(F.col("kind") == "boolean").alias("booleans")
     )
     pages = values.groupBy("element", "field").agg(F.countDistinct("ord").alias("n"))
     rank = F.row_number().over(Window.partitionBy("element", "field").orderBy(F.col("value").isNull(), F.col("c").desc(), "first"))
     top = F.transform(F.array_sort(F.collect_list(F.when((F.col("rank") <= k) & F.col("value").isNotNull(), F.struct("rank", "value", "c")))), lambda t: F.concat(t["value"], F.lit(":"), t["c"]))
     names = F.transform(F.array_sort(F.collect_list(F.when((F.col("rank") <= k) & F.col("value").isNotNull(), F.struct("rank", "value")))), lambda t: t["value"])
     agg = per.withColumn("rank", rank).groupBy("element", "field").agg(
-        F.min_by("kind", "first").alias("kind"), top.alias("top"), names.alias("names"), F.sum(F.when((F.col("value") == "true") & (F.col("booleans") > 0), F.col("booleans")).otherwise(0)).alias("trues"),
+        F.min_by("kind", "earliest").alias("kind"), top.alias("top"), names.alias("names"), F.sum(F.when((F.col("value") == "true") & (F.col("booleans") > 0), F.col("booleans")).otherwise(0)).alias("trues"),
         F.sum(F.col("x") * F.col("c")).alias("total"), F.min("x").alias("low"), F.max("x").alias("high"),
     ).join(pages, ["element", "field"])
     is_ = lambda name, value: F.when(F.col("kind") == name, value)

@@ -301,3 +301,12 @@ def test_normalised_end_to_end(spark):
     assert out["rhythm"] == "DLLD" and out["n"] == 4 and out["vertical"] == "jewellery" and out["tags"][:3] == ["split-hero", "dark-hero", "marquee"]
     millis = 996624000000
     assert out["id"] == "comp_" + hashlib.sha256(f"http://x{millis}".encode()).hexdigest()[:8]
+
+
+def test_equally_frequent_details_go_by_their_place_as_text(spark):
+    """As text, page s10 at 0 comes before page s1 at 3, though s1 is the lesser url; for texts and for the values of lists."""
+    rows = [("http://s1", 3, '{"style":"a","tags":["x","p"]}'), ("http://s10", 0, '{"style":"b","tags":["y"]}'), ("http://s2", 0, '{"style":"c","tags":["x","x","y"]}')]
+    pages = spark.createDataFrame([(u, "e", pos, True, x) for u, pos, x in rows], "url string, element string, pos int, present boolean, details string")
+    got = {r["field"]: r for r in structural.detail_summary(structural.detail_values(pages)).collect()}
+    assert (got["style"]["most_common"], got["style"]["distribution"], got["style"]["n"]) == ("b", "b:1,a:1,c:1", 3)
+    assert (got["tags"]["most_common"], got["tags"]["n"]) == ("x,y,p", 3)
