@@ -113,35 +113,47 @@ def coerced(pdp: DataFrame) -> DataFrame:
 
 
 def detail_values(pdp: DataFrame) -> DataFrame:
-    """element, field, ord (of the page), at (of the value in its list), kind, value as text, x (its number), of present first elements.
-    A list gives one row for each of its values, and one without a value if it is empty."""
-    rows = first_elements(pdp).where("present").select("element", F.struct("url", "pos").alias("ord"), F.coalesce(F.try_parse_json("details"), F.parse_json(F.lit("{}"))).alias("v"))
-    fields = rows.select("element", "ord", F.explode(F.map_keys(F.try_variant_get("v", "$", "map<string,variant>"))).alias("field"), "v")
-    each = fields.withColumn("v", F.try_variant_get("v", F.concat(F.lit("$['"), "field", F.lit("']")), "variant"))
+    """element, field, at (of the value in its list), kind, value as text, x (its number), c (pages), place and earliest (of the first
+    page, as text and as url and pos), of present first elements. A list gives one row for each of its values, and one without a value
+    if it is empty.
+
+    Equal details of an element are counted first, so each is parsed once. They are counted apart by the length of their urls: of places
+    of one length, the least stays the least whatever is added at the end."""
+    place = F.concat("url", _six("pos"))
+    texts = first_elements(pdp.select("url", "element", "pos", "present", "details")).where("present").groupBy("element", "details", F.length("url").alias("_length")).agg(F.count("*").alias("c"), F.min(place).alias("place"))
+    earliest = F.struct(F.substring("place", F.lit(1), F.col("_length")).alias("url"), F.substring("place", F.col("_length") + 1, F.lit(6)).alias("pos"))
+    rows = texts.select("element", "c", "place", earliest.alias("earliest"), F.coalesce(F.try_parse_json("details"), F.parse_json(F.lit("{}"))).alias("v"))
+    fields = rows.select("element", "c", "place", "earliest", F.explode(F.map_entries(F.try_variant_get("v", "$", "map<string,variant>"))).alias("f"))
+    each = fields.select("element", "c", "place", "earliest", F.col("f.key").alias("field"), F.col("f.value").alias("v"))
     schema = F.schema_of_variant("v")
     kind = F.when(schema == "STRING", "string").when(schema == "BOOLEAN", "boolean").when(schema.startswith("ARRAY"), "array").when(F.rlike(schema, F.lit("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")), "number")
     listed = F.when(kind == "array", F.try_variant_get("v", "$", "array<variant>")).otherwise(F.array("v"))
-    flat = each.withColumn("kind", kind).select("element", "field", "ord", "kind", F.posexplode_outer(listed).alias("at", "w"))
+    flat = each.withColumn("kind", kind).select("element", "field", "c", "place", "earliest", "kind", F.posexplode_outer(listed).alias("at", "w")).withColumn("at", F.coalesce("at", F.lit(0)))
     as_ = lambda t: F.try_variant_get("w", "$", t)
-    return flat.select("element", "field", "ord", F.coalesce("at", F.lit(0)).alias("at"), F.coalesce("kind", F.lit("other")).alias("kind"), as_("string").alias("value"), F.when(F.col("kind") == "number", as_("double")).alias("x"))
+    return flat.select(
+        "element", "field", "at", F.coalesce("kind", F.lit("other")).alias("kind"), as_("string").alias("value"), F.when(F.col("kind") == "number", as_("double")).alias("x"), "c", F.concat("place", _six("at")).alias("place"), F.struct("earliest", "at").alias("earliest")
+    )
+
+
+def _six(c: str) -> Column:
+    return F.lpad(F.col(c).cast("string"), 6, "0")
 
 
 def detail_summary(values: DataFrame, k: int = 5) -> DataFrame:
     """element, field, kind, n (pages), most_common, distribution, true_pct, average, low, high: as the kind of the field's first value asks.
     most_common has the mode of texts or the k most frequent values of lists, distribution the k most frequent texts with counts, ties by
     the least place, which is a text: the url, then the position and the place in the list in six digits."""
-    six = lambda c: F.lpad(F.col(c).cast("string"), 6, "0")
     per = values.groupBy("element", "field", "value").agg(
-        F.count("*").alias("c"), F.min(F.concat("ord.url", six("ord.pos"), six("at"))).alias("first"), F.min(F.struct("ord", "at")).alias("earliest"), F.min_by("kind", F.struct("ord", "at")).alias("kind"), F.min("x").alias("x"), F.count_if(F.col("kind") == "boolean").alias("booleans")
+        F.sum("c").alias("c"), F.min("place").alias("first"), F.min("earliest").alias("earliest"), F.min_by("kind", "earliest").alias("kind"), F.min("x").alias("x"), F.sum(F.when(F.col("kind") == "boolean", F.col("c")).otherwise(0)).alias("booleans"),
+        F.sum(F.when(F.col("at") == 0, F.col("c")).otherwise(0)).alias("pages"),
     )
-    pages = values.groupBy("element", "field").agg(F.countDistinct("ord").alias("n"))
     rank = F.row_number().over(Window.partitionBy("element", "field").orderBy(F.col("value").isNull(), F.col("c").desc(), "first"))
     top = F.transform(F.array_sort(F.collect_list(F.when((F.col("rank") <= k) & F.col("value").isNotNull(), F.struct("rank", "value", "c")))), lambda t: F.concat(t["value"], F.lit(":"), t["c"]))
     names = F.transform(F.array_sort(F.collect_list(F.when((F.col("rank") <= k) & F.col("value").isNotNull(), F.struct("rank", "value")))), lambda t: t["value"])
     agg = per.withColumn("rank", rank).groupBy("element", "field").agg(
         F.min_by("kind", "earliest").alias("kind"), top.alias("top"), names.alias("names"), F.sum(F.when((F.col("value") == "true") & (F.col("booleans") > 0), F.col("booleans")).otherwise(0)).alias("trues"),
-        F.sum(F.col("x") * F.col("c")).alias("total"), F.min("x").alias("low"), F.max("x").alias("high"),
-    ).join(pages, ["element", "field"])
+        F.sum(F.col("x") * F.col("c")).alias("total"), F.min("x").alias("low"), F.max("x").alias("high"), F.sum("pages").alias("n"),
+    )
     is_ = lambda name, value: F.when(F.col("kind") == name, value)
     return agg.select(
         "element", "field", "kind", "n", is_("string", F.get("names", F.lit(0))).when(F.col("kind") == "array", F.array_join("names", ",")).alias("most_common"), is_("string", F.array_join("top", ",")).alias("distribution"),

@@ -310,3 +310,9 @@ def test_equally_frequent_details_go_by_their_place_as_text(spark):
     got = {r["field"]: r for r in structural.detail_summary(structural.detail_values(pages)).collect()}
     assert (got["style"]["most_common"], got["style"]["distribution"], got["style"]["n"]) == ("b", "b:1,a:1,c:1", 3)
     assert (got["tags"]["most_common"], got["tags"]["n"]) == ("x,y,p", 3)
+
+
+def test_equal_details_are_counted_before_they_are_parsed(spark):
+    pages = spark.createDataFrame([(u, "e", 0, True, '{"tags":["x","p"]}') for u in ("http://s1", "http://s2", "http://s3")], "url string, element string, pos int, present boolean, details string")
+    got = [(r["at"], r["value"], r["c"], r["place"]) for r in structural.detail_values(pages).orderBy("at").collect()]
+    assert got == [(0, "x", 3, "http://s1000000000000"), (1, "p", 3, "http://s1000000000001")]
