@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,16 +101,136 @@ def greedy_kept(vectors: np.ndarray, verticals: list[str], quality: np.ndarray,
     return kept
 
 
-def vector_dedup(df: DataFrame, threshold: float = 0.92) -> DataFrame:
-    """(comp_id, ord) of df (comp_id, ord, vertical, quality_score, vec) that stay. The order decides, so the fold runs in one task, over
-    what the quality gate and fingerprints left; it holds 42 doubles a row."""
+TYPES = len(vocab.SECTION_TYPES)
+_WEIGHTED = ("default", *vocab.VERTICAL_WEIGHTS)
+#: Rows that pairs are looked for at once.
+BLOCK = 2048
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ord").reset_index(drop=True)
-        kept = greedy_kept(np.stack(pdf["vec"].to_list()), pdf["vertical"].fillna("default").to_list(), pdf["quality_score"].to_numpy(), threshold)
-        return pd.DataFrame({"comp_id": pdf["comp_id"].to_numpy()[kept], "ord": np.arange(len(kept))})
 
-    return df.select("comp_id", "ord", "vertical", "quality_score", "vec").withColumn("_all", F.lit(True)).groupBy("_all").applyInPandas(run, "comp_id long, ord long")
+def _lengths(x: np.ndarray) -> np.ndarray:
+    """Each row's squared lengths under the weights of each of _WEIGHTED."""
+    w = np.array([vocab.weights(v) for v in _WEIGHTED])
+    return (x * x) @ (w * w).T
+
+
+def _masks(x: np.ndarray) -> np.ndarray:
+    return (x[:, :TYPES] != 0) @ (1 << np.arange(TYPES))
+
+
+def _keyed(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Every row once for each set of types that a row like it may share with it.
+
+    What the one has of types and the other has not, p of the one's squared length a and q of the other's b, is lost to their product, so
+    it is at most sqrt((a - p) * (b - q)): of rows like each other p is under (1 - threshold ** 2) * a, and q likewise. Types weigh 1."""
+    for batch in batches:
+        x = np.stack(batch["vec"].to_numpy(zero_copy_only=False)) if batch.num_rows else np.zeros((0, TYPES + len(vocab.FEATURE_DIMS)))
+        masks, types = _masks(x), x[:, :TYPES] ** 2
+        least = np.where(types > 0, types, np.inf).min(axis=1, initial=np.inf)
+        may = ((1 - max(threshold, 0.0) ** 2) * _lengths(x).max(axis=1) + 1e-9) / least
+        keys, rows = [], []
+        for i, (mask, n) in enumerate(zip(masks.tolist(), may.tolist(), strict=True)):
+            bits = [1 << b for b in range(TYPES) if mask >> b & 1]
+            own = [mask - sum(gone) for k in range(min(int(n), len(bits)) + 1) for gone in combinations(bits, k)]
+            keys += own
+            rows += [i] * len(own)
+        out = batch.take(pa.array(rows, pa.int64()))
+        packed = pa.array([v.tobytes() for v in x], pa.binary()).take(pa.array(rows, pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *(out[c] for c in ("comp_id", "ord", "vertical", "quality_score")), packed], names=["key", "comp_id", "ord", "vertical", "quality_score", "vec"])
+
+
+def _alike(key: int, ids: np.ndarray, ords: np.ndarray, verticals: np.ndarray, x: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (later, earlier) of the rows that are alike under the later one's weights and share the types of key, and no others."""
+    masks, lengths = _masks(x), _lengths(x)
+    free = 1 - (x[:, :TYPES] ** 2 * ((masks ^ key)[:, None] >> np.arange(TYPES) & 1)).sum(axis=1) / np.maximum(lengths.max(axis=1), 1e-300)
+    full = np.flatnonzero(masks == key)
+    part = np.flatnonzero(masks != key)
+    # Of two rows that both have more types than key, what is free must suffice together.
+    wide = part[free[part] * free[part].max(initial=0.0) > max(threshold, 0.0) ** 2 - 1e-9]
+    later, earlier = [], []
+    for rows, others in ((full, np.arange(len(x))), (part, full), (wide, wide)):
+        for v, name in enumerate(_WEIGHTED):
+            own = rows[verticals[rows] == v]
+            if not len(own) or not len(others):
+                continue
+            b, b_length = _weighted(x[others], name)
+            for at in range(0, len(own), BLOCK):
+                i = own[at : at + BLOCK]
+                a, a_length = _weighted(x[i], name)
+                hit = (a @ b.T) / (a_length[:, None] * b_length + 1e-8) > threshold
+                hit &= (masks[i][:, None] & masks[others]) == key
+                hit &= (ords[i][:, None] > ords[others]) | ((ords[i][:, None] == ords[others]) & (ids[i][:, None] > ids[others]))
+                r, c = np.nonzero(hit)
+                later.append(i[r])
+                earlier.append(others[c])
+    return tuple(np.concatenate(p) if p else np.zeros(0, np.int64) for p in (later, earlier))
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """comp_id, ord, quality_score, earlier of _keyed() rows in the order of their keys: each row once without an earlier one, and once for
+    each earlier row that it is like."""
+    kept: pa.Table | None = None
+    code = {v: i for i, v in enumerate(_WEIGHTED)}
+
+    def found(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys, ids, ords, quality = (t[c].to_numpy() for c in ("key", "comp_id", "ord", "quality_score"))
+        x = np.frombuffer(b"".join(t["vec"].to_pylist()), np.float64).reshape(len(keys), -1)
+        verticals = np.array([code.get(v, 0) for v in t["vertical"].to_pylist()])
+        at = np.append(np.flatnonzero(np.diff(keys, prepend=-1)), len(keys))
+        own = np.flatnonzero(_masks(x) == keys)
+        later, earlier = [own], [np.full(len(own), -1)]
+        for a, b in zip(at[:-1], at[1:], strict=True):
+            if b - a > 1:
+                i, j = _alike(int(keys[a]), ids[a:b], ords[a:b], verticals[a:b], x[a:b], threshold)
+                later.append(i + a)
+                earlier.append(j + a)
+        i, j = np.concatenate(later), np.concatenate(earlier)
+        near = pa.array(ids[j], pa.int64(), mask=j < 0)
+        yield from pa.table([pa.array(ids[i]), pa.array(ords[i]), pa.array(quality[i].astype(np.float64)), near], names=["comp_id", "ord", "quality_score", "earlier"]).to_batches(max_chunksize=10_000)
+
+    for batch in batches:
+        new = pa.Table.from_batches([batch])
+        kept = new if kept is None else pa.concat_tables([kept, new])
+        # The last key may go on in the next batch.
+        keys = kept["key"].to_numpy()
+        whole = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
+        if whole:
+            yield from found(kept.slice(0, whole))
+            kept = kept.slice(whole)
+    if kept is not None and kept.num_rows:
+        yield from found(kept)
+
+
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """greedy_kept() of rows in order that name the earlier rows they are like."""
+    place: dict[int, int] = {}
+    kept: list[int] = []
+    quality: list[float] = []
+    for batch in batches:
+        for i, q, near in zip(*(batch[c].to_pylist() for c in ("comp_id", "quality_score", "near")), strict=True):
+            at = min((place[j] for j in near if j in place), default=None)
+            if at is None:
+                place[i] = len(kept)
+                kept.append(i)
+                quality.append(q)
+            elif q > quality[at]:
+                del place[kept[at]]
+                place[i], kept[at], quality[at] = at, i, q
+    for at in range(0, len(kept), 10_000):
+        part = kept[at : at + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(range(at, at + len(part)), pa.int64())], names=["comp_id", "ord"])
+
+
+def vector_dedup(df: DataFrame, threshold: float = 0.92) -> DataFrame:
+    """(comp_id, ord) of df (comp_id, ord, vertical, quality_score, vec) that stay, as greedy_kept() keeps them.
+
+    Rows like each other differ in few types, so each row meets those that share a set of types with it, in as many tasks as there are
+    keys. The order decides, so the fold over the pairs runs in one task; it holds the ids of the rows that stay and compares no vectors."""
+    row = "comp_id long, ord long, vertical string, quality_score double, vec"
+    rows = df.select(F.col("comp_id").cast("long").alias("comp_id"), F.col("ord").cast("long").alias("ord"), "vertical", F.col("quality_score").cast("double").alias("quality_score"), "vec")
+    keyed = rows.mapInArrow(lambda b: _keyed(b, threshold), f"key long, {row} binary").repartition("key").sortWithinPartitions("key")
+    pairs = keyed.mapInArrow(lambda b: _pairs(b, threshold), "comp_id long, ord long, quality_score double, earlier long")
+    near = pairs.groupBy("ord", "comp_id", "quality_score").agg(F.collect_list("earlier").alias("near"))
+    return near.repartition(1).sortWithinPartitions("ord", "comp_id").mapInArrow(_folded, "comp_id long, ord long")
 
 
 def greedy_clusters(vectors: np.ndarray, vertical: str, threshold: float) -> np.ndarray:

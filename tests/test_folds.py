@@ -72,6 +72,35 @@ def test_greedy_dedup_equals_brute_force():
     assert 10 < len(kept) < 390
 
 
+@pytest.mark.parametrize("threshold", [0.92, 0.7])
+def test_vector_dedup_equals_the_plain_fold(spark, threshold):
+    """Few and many types, weights that shift lengths, equal vectors and equal scores; the keys lie in several tasks."""
+    rng = np.random.default_rng(4)
+    n = 400
+    types = rng.random((n, 28)) < rng.choice([0.05, 0.15, 0.35], (n, 1)) * (np.arange(28) < 12)
+    x = np.concatenate([types, rng.random((n, 14)) * rng.integers(0, 2, (n, 14))], axis=1)
+    x[300:340] = x[rng.integers(0, 300, 40)]
+    x[340:370, 28:] = x[:30, 28:] * 1.02
+    x[340:370, :28] = x[:30, :28]
+    x[0] = 0
+    names = rng.choice(["jewellery", "fashion", "food", "beauty", "general", ""], n).tolist()
+    quality_ = rng.integers(0, 20, n)
+    want = vectors.greedy_kept(x, [v or "default" for v in names], quality_, threshold)
+    rows = [(i * 7 % 1009, i, names[i] or None, int(quality_[i]), x[i].tolist()) for i in rng.permutation(n).tolist()]
+    got = vectors.vector_dedup(spark.createDataFrame(rows, "comp_id long, ord long, vertical string, quality_score int, vec array<double>"), threshold).orderBy("ord").collect()
+    assert [(r["comp_id"], r["ord"]) for r in got] == [(i * 7 % 1009, at) for at, i in enumerate(want)]
+    assert 10 < len(want) < n - 10
+    assert want != sorted(want)
+
+
+def test_the_dedup_fold_compares_no_vectors(spark):
+    """The step in one task gets ids and scores; the vectors are compared where their keys lie."""
+    rows = spark.createDataFrame([(1, 1, "food", 1, [1.0] * 42)], "comp_id long, ord long, vertical string, quality_score int, vec array<double>")
+    plan = vectors.vector_dedup(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "vec" not in plan[: plan.index("RepartitionByExpression [key")].split("MapInArrow")[1]
+    assert "FlatMapGroups" not in plan
+
+
 def test_greedy_clusters_equal_brute_force():
     rng = np.random.default_rng(2)
     x = (rng.random((300, 42)) < 0.4).astype(float) + 0.05
