@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,8 +18,9 @@ def name_of(tags: Column, *rest: Column) -> Column:
 
 
 def deduplicated(comps: DataFrame, threshold: float = 0.92) -> DataFrame:
-    first = vectors.fingerprint_dedup(comps)
-    return first.drop("ord").join(vectors.vector_dedup(first, threshold), "comp_id")
+    """comps without those like others. What both steps leave is written to the executors' disks once, as it is read more than once."""
+    first = vectors.fingerprint_dedup(comps).localCheckpoint(storageLevel=StorageLevel.DISK_ONLY)
+    return first.drop("ord").join(vectors.vector_dedup(first, threshold), "comp_id").localCheckpoint(storageLevel=StorageLevel.DISK_ONLY)
 
 
 def archetypes(comps: DataFrame, per_vertical: int = 15, threshold: float = 0.80) -> tuple[DataFrame, DataFrame]:
