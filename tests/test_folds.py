@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pagecraft.functions import scalars as sc
 from pagecraft.functions import vocab
 from pagecraft.operators import fonts, normalize, palette, quality, sections, structural, vectors
+from pagecraft.plans import fixtures
 from pagecraft.plans import queries as q
 from pagecraft.sources import readers, sinks
 from pagecraft.streaming import incremental
@@ -52,6 +53,20 @@ def test_reconcile_equals_walk(spark):
         assert [(d, m) for _, d, m in sorted(got[comp])] == want
 
 
+def test_partitions_of_line_items_follow_the_files(spark, monkeypatch):
+    """More files make more partitions, and nothing moves the rows again before they are reconciled; small ones are left to the session."""
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert fixtures.lines(spark, DATA).rdd.getNumPartitions() == 4
+        monkeypatch.setattr(fixtures, "PART_BYTES", 10_000)
+        many = fixtures.lines(spark, DATA).rdd.getNumPartitions()
+        assert many > 4
+        assert sections.reconciled(*q.two_viewports(spark, DATA)).rdd.getNumPartitions() in (many, 2 * many)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
 def cosine(a, b, vertical):
     w = np.array(vocab.weights(vertical))
     return (a * w) @ (b * w) / (np.linalg.norm(a * w) * np.linalg.norm(b * w) + 1e-8)
