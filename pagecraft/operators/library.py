@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagecraft.functions import vocab
-from pagecraft.functions.scalars import half_up, weighted_cosine
+from pagecraft.functions.scalars import dot, half_up, let, weights
 from pagecraft.operators import quality, vectors
 
 
@@ -151,12 +151,17 @@ def _one(test: Column) -> Column:
     return F.when(test, 1.0).otherwise(0.0)
 
 
+#: So many contexts are sent to every task, which then reads the archetypes as they lie; more are joined by shuffling.
+CONTEXTS = 10_000
+
+
 def candidates(archs: DataFrame, contexts: DataFrame) -> DataFrame:
-    """Each context with its vertical's archetypes and the general ones; both if they are the same."""
+    """Each context with its vertical's archetypes and the general ones; both if they are the same. Archetypes are read once."""
+    asked = contexts.withColumn("_asked", F.explode(F.array("vertical", F.lit("general"))))
+    if contexts.limit(CONTEXTS + 1).count() <= CONTEXTS:
+        asked = F.broadcast(asked)
     a = archs.withColumnRenamed("vertical", "arch_vertical")
-    same = contexts.join(a, contexts["vertical"] == a["arch_vertical"])
-    # The general archetypes are few by the limit of the library, and a context is a request: each meets all of them.
-    return same.unionByName(contexts.crossJoin(a.where(F.col("arch_vertical") == "general")))
+    return a.join(asked, F.col("arch_vertical") == F.col("_asked")).select(*contexts.columns, *a.columns)
 
 
 def relevance() -> Column:
@@ -165,9 +170,10 @@ def relevance() -> Column:
     has = lambda test: F.exists("s", lambda x: test(x["type"]))
     old, new = vibe("traditional", "ethnic"), vibe("minimal", "modern")
     points = lambda test, n: F.when(test, n).otherwise(0)
+    similarity = let(F.zip_with("vec", "weights", lambda x, w: x * w), lambda v: dot(v, F.col("target")) / (F.sqrt(dot(v, v)) * F.col("target_length") + F.lit(1e-8)))
     return (
         points(F.col("arch_vertical") == F.col("vertical"), 40) + points(F.col("arch_vertical") == "general", 5) + overlap * 12
-        + weighted_cosine(F.col("vec"), F.col("target"), F.col("vertical")) * 30 + F.least("cluster_size", F.lit(50)) * 0.3 + F.col("quality_score") * 0.15
+        + similarity * 30 + F.least("cluster_size", F.lit(50)) * 0.3 + F.col("quality_score") * 0.15
         + points(old & (F.col("avg_gold") > 0.05), 8) + points(old & (F.col("avg_maroon") > 0.05), 8) + points(new & (F.col("avg_gold") > 0.1), -5)
         + points(has(lambda t: t.contains("testimonial")) & ~F.col("has_reviews"), -10) + points(has(lambda t: t == "video_section") & ~F.col("has_video"), -10)
         + points(has(lambda t: t.contains("category")) & ~F.col("many_categories"), -5)
@@ -175,7 +181,9 @@ def relevance() -> Column:
 
 
 def ranked(archs: DataFrame, contexts: DataFrame) -> DataFrame:
-    return candidates(archs, contexts.withColumn("target", target_vector())).withColumn("relevance", relevance())
+    """candidates() with relevance. A context's weights, its weighted target and that one's length are computed once for the context."""
+    weighed = contexts.withColumn("weights", weights(F.col("vertical"))).withColumn("target", F.zip_with(target_vector(), "weights", lambda x, w: x * w))
+    return candidates(archs, weighed.withColumn("target_length", F.sqrt(dot(F.col("target"), F.col("target"))))).withColumn("relevance", relevance()).drop("weights", "target_length")
 
 
 def selected(archs: DataFrame, contexts: DataFrame, count: int = 3, most: float = 0.85) -> DataFrame:
