@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: The size to which the JVM compiles a method. Wider expressions than that then run as several methods, not as one that is interpreted.
+METHOD_BYTES = 8000
 
 
 def session(master: str | None = None, **conf: str) -> SparkSession:
@@ -14,7 +17,15 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        # The size to which the JVM compiles a method. Wider expressions than that then run as several methods, not as one that is interpreted.
-        "spark.sql.codegen.hugeMethodLimit": "8000",
+        "spark.sql.codegen.hugeMethodLimit": str(METHOD_BYTES),
     }
     return builder.config(map=base | conf).getOrCreate()
+
+
+def small_methods(df: DataFrame) -> DataFrame:
+    """df, with the session's generated methods bounded to what the JVM compiles, whoever made the session."""
+    conf = df.sparkSession.conf
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if int(conf.get(name)) > METHOD_BYTES:
+        conf.set(name, str(METHOD_BYTES))
+    return df

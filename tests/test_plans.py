@@ -1,9 +1,12 @@
 """The shape of plans: what is computed once, and what meets the same rows by a cheaper way."""
 
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from pagecraft.functions.scalars import weighted_cosine
-from pagecraft.operators import library
+from pagecraft.operators import library, sections
 from pagecraft.plans import queries
 
 CONTEXT = "context_id int, vertical string, price string, vibes array<string>, product_count int, has_reviews boolean, has_video boolean, many_categories boolean"
@@ -57,3 +60,33 @@ def test_relevance_joins_no_partition_with_all(spark):
 
     plan = queries.archetype_relevance(spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
+
+
+def test_classifier_runs_compiled_in_any_session(spark):
+    """Its methods are wider than the JVM compiles, and a session of another's making does not split them."""
+    from .conftest import DATA
+
+    other = spark.newSession()
+    other.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    queries.section_classify(other, DATA)
+    assert int(other.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_words_of_patterns_find_what_the_patterns_find(spark):
+    patterns = list(dict.fromkeys(x for _, rules in sections.POINTS for c, _ in rules for x in sections._pieces(c)[1::2]))
+    more = [r"ab?c|d{0,2}ef", r"a(b|c)+d|[x|y]z", r"colou?rs|\.\|"]
+    bits = [w for p in patterns + more for a in sections._alternatives(p) for w in sections._words(a)[0]]
+    bits += ["12", "3,4", " + ", " : ", "days", "hours", '"', "“", "”", "1998", " ", "x", "abcd", "ac", "ef", "yz", "color", ".|", "order", "fre", "ee shipping", "rs", "\n"]
+    rng = random.Random(7)
+    texts = ["", None, "ends 10 : 20", "12, + orders", "“quoted” \n", '"a quoted line"', "days : hours", "since 1998", *("".join(rng.choices(bits, k=rng.randint(1, 5))) for _ in range(3000))]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select("t", *[sections.occurs(F.col("t"), p).alias(f"p{i}") for i, p in enumerate(patterns + more)]).collect()
+    # Every pattern is found somewhere and missed somewhere; $ may stand before a last line break in both.
+    for i, p in enumerate(patterns + more):
+        assert [r[f"p{i}"] for r in got] == [None if r["t"] is None else bool(re.search(p, r["t"])) for r in got], p
+        assert len({r[f"p{i}"] for r in got if r["t"] is not None}) == 2, p
+
+
+def test_plain_words_need_no_pattern(spark):
+    plan = spark.range(1).select(sections.occurs(F.col("id").cast("string"), sections.PRICE).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan.upper()
